@@ -1,4 +1,4 @@
-from starmart.functions.dates import calendar_columns, date_key, parse_date
+from starmart.functions.dates import calendar_columns, date_key, parse_date, with_date_key
 from starmart.functions.keys import canonical_key, person_name, strip
 from starmart.functions.measures import line_amount, money, quantity
 
@@ -12,4 +12,5 @@ __all__ = [
     "person_name",
     "quantity",
     "strip",
+    "with_date_key",
 ]

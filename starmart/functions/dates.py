@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, StringType
 
 # ISO calendar date, alone or followed by a time of day.
@@ -26,6 +26,16 @@ def date_key(day: Column) -> Column:
     return (F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)).cast("int")
 
 
+def with_date_key(headers: DataFrame, column: str) -> DataFrame:
+    """Headers with the ``DateKey`` of a date column.
+
+    Made before lines are joined: once per header, and an int instead of a
+    timestamp or text goes through the shuffle.
+    """
+    day = parse_date(F.col(column), headers.schema[column].dataType)
+    return headers.withColumn("DateKey", date_key(day))
+
+
 def calendar_columns(day: Column) -> dict[str, Column]:
     """The DimTime attributes of a date column."""
     return {

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from starmart.functions import calendar_columns, canonical_key, money, parse_date
@@ -30,13 +30,11 @@ def dim_source_system(spark: SparkSession, sources: Sequence[Source]) -> DataFra
 
 
 def _members(mapped: Mapped, prefix: str, keys: Sequence[str], schema: StructType) -> DataFrame:
-    rules = dict(mapped.rules)
-    for key in keys:
-        if key in rules:
-            rules[key] = canonical_key(prefix, rules[key], mapped.type_of(key))
-    if "UnitPrice" in rules:
-        rules["UnitPrice"] = money(rules["UnitPrice"])
-    return conform(mapped.rows.select(*[rule.alias(name) for name, rule in rules.items()]), schema)
+    df, types = mapped.evaluated()
+    made = {k: canonical_key(prefix, F.col(k), types[k]) for k in keys if k in types}
+    if "UnitPrice" in types:
+        made["UnitPrice"] = money(F.col("UnitPrice"))
+    return conform(df.withColumns(made), schema)
 
 
 def customers_of(source: Source) -> DataFrame:
@@ -58,10 +56,9 @@ def products_of(source: Source) -> DataFrame:
 
 def dates_of(source: Source) -> DataFrame:
     """Usable calendar dates of the source's headers, repeats included."""
-    mapped = source.spec.dates(source.raw)
-    day = parse_date(mapped.rules["OrderDate"], mapped.type_of("OrderDate"))
-    days = mapped.rows.select(day.alias("FullDate"))
-    return days.where(days.FullDate.isNotNull())
+    df, types = source.spec.dates(source.raw).evaluated()
+    days = df.select(parse_date(F.col("OrderDate"), types["OrderDate"]).alias("FullDate"))
+    return days.where(F.col("FullDate").isNotNull())
 
 
 def dim_customer(sources: Sequence[Source]) -> DataFrame:
@@ -82,9 +79,8 @@ def calendar(days: DataFrame) -> DataFrame:
     Built from headers, never from lines; each task reduces its share to the
     distinct dates before anything is shuffled.
     """
-    distinct = days.distinct()
-    columns = calendar_columns(distinct.FullDate)
-    return conform(distinct.select(*[c.alias(n) for n, c in columns.items()]), DIM_TIME)
+    columns = calendar_columns(F.col("FullDate"))
+    return conform(days.distinct().select(*[c.alias(n) for n, c in columns.items()]), DIM_TIME)
 
 
 def dim_time(sources: Sequence[Source]) -> DataFrame:

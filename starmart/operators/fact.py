@@ -8,17 +8,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.functions import (
     canonical_key,
-    date_key,
     line_amount,
     money,
-    parse_date,
     quantity,
 )
 from starmart.schema import FACT_SALES, conform
 from starmart.sources.spec import Source, union_all
 
-STAGING_COLUMNS = ("LineKey", "RawDate", "RawQuantity", "RawPrice")
-
 
 def staged_sales(source: Source) -> DataFrame:
     """Joined lines of one source: the fact columns next to the values they came from.
@@ -27,26 +23,27 @@ def staged_sales(source: Source) -> DataFrame:
     raw columns, the fact leaves them out and they are pruned from the scan.
     """
     spec = source.spec
-    mapped = spec.sales(source.raw)
-    rule = mapped.rules
+    df, types = spec.sales(source.raw).evaluated()
 
     def key(target: str) -> Column:
-        return canonical_key(spec.prefix, rule[target], mapped.type_of(target))
-
-    day = parse_date(rule["OrderDate"], mapped.type_of("OrderDate"))
-    amount = money(rule["Amount"]) if "Amount" in rule else line_amount(rule["UnitPrice"], rule["Quantity"])
-    price = rule["UnitPrice"] if "UnitPrice" in rule else rule["Amount"]
-    return mapped.rows.select(
-        rule["LineKey"].alias("LineKey"),
-        rule["OrderDate"].cast("string").alias("RawDate"),
-        rule["Quantity"].cast("string").alias("RawQuantity"),
+        return canonical_key(spec.prefix, F.col(target), types[target]).alias(target)
+
+    units = F.col("Quantity")
+    if "Amount" in types:
+        price, amount = F.col("Amount"), money(F.col("Amount"))
+    else:
+        price, amount = F.col("UnitPrice"), line_amount(F.col("UnitPrice"), units)
+    return df.select(
+        "LineKey",
+        F.col("OrderDate").cast("string").alias("RawDate"),
+        units.cast("string").alias("RawQuantity"),
         price.cast("string").alias("RawPrice"),
-        date_key(day).alias("DateKey"),
-        key("CustomerID").alias("CustomerID"),
-        key("EmployeeID").alias("EmployeeID"),
-        key("ProductID").alias("ProductID"),
+        "DateKey",
+        key("CustomerID"),
+        key("EmployeeID"),
+        key("ProductID"),
         F.lit(spec.system_id).alias("SourceSystemID"),
-        quantity(rule["Quantity"]).alias("SalesQuantity"),
+        quantity(units).alias("SalesQuantity"),
         amount.alias("SalesAmount"),
     )
 

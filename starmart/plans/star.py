@@ -4,16 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from datetime import date
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.operators import dims, fact
+from starmart.operators.filters import filter_sales
 from starmart.schema import STAR_TABLES
 from starmart.sources.spec import Source
 
 
-@dataclass(frozen=True)
+@dataclass(eq=False)
 class Star:
     """Tables of the star over a list of sources; each plan is made when first asked for."""
 
@@ -49,6 +51,16 @@ class Star:
         by_name = {s.spec.name: s.spec.system_id for s in self.sources}
         return [by_name[name] for name in names]
 
+    def sales(
+        self,
+        source_names: Sequence[str] | None = None,
+        first: date | None = None,
+        last: date | None = None,
+    ) -> DataFrame:
+        """The fact, limited to some sources and an inclusive range of dates."""
+        ids = None if source_names is None else self.source_ids(source_names)
+        return filter_sales(self.fact_sales, ids, first, last)
+
     def tables(self) -> dict[str, DataFrame]:
         frames = (
             self.fact_sales,

@@ -98,10 +98,12 @@ def conform(df: DataFrame, schema: StructType) -> DataFrame:
     A contract column the frame lacks becomes a typed NULL: a source that has
     no such attribute says so by leaving it out.
     """
-    present = set(df.columns)
-    return df.select(
-        *[
-            (F.col(f.name) if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in schema.fields
-        ]
-    )
+    present = {f.name: f.dataType for f in df.schema.fields}
+    columns = []
+    for field in schema.fields:
+        if present.get(field.name) == field.dataType:
+            columns.append(field.name)
+        else:
+            column = F.col(field.name) if field.name in present else F.lit(None)
+            columns.append(column.cast(field.dataType).alias(field.name))
+    return df.select(*columns)

@@ -13,6 +13,8 @@ def local_session(cores: int | str = 8, **settings: str) -> SparkSession:
         .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
         .config("spark.sql.session.timeZone", "UTC")
+        # Call sites for error messages cost several round trips per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
     )

@@ -4,10 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions import person_name
+from starmart.functions import person_name, with_date_key
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import ForeignKey, Mapped, SourceSpec
 
+# Raw schemas: the columns the mapping reads, with the source's types.
+RAW_SCHEMAS = {
+    "Artist": "ArtistId bigint, Name string",
+    "Album": "AlbumId bigint, Title string, ArtistId bigint",
+    "Customer": "CustomerId bigint, FirstName string, LastName string, Company string, City string, "
+    "State string, Country string, PostalCode string, Phone string, Email string, SupportRepId bigint",
+    "Employee": "EmployeeId bigint, FirstName string, LastName string, Title string, City string, "
+    "Country string, ReportsTo bigint",
+    "Genre": "GenreId bigint, Name string",
+    "Invoice": "InvoiceId bigint, CustomerId bigint, InvoiceDate string, Total decimal(10,2)",
+    "InvoiceLine": "InvoiceLineId bigint, InvoiceId bigint, TrackId bigint, UnitPrice decimal(10,2), "
+    "Quantity bigint",
+    "Track": "TrackId bigint, Name string, GenreId bigint, Composer string, UnitPrice decimal(10,2)",
+}
+
 
 def _customers(raw: RawZone) -> Mapped:
     c = F.col
@@ -67,7 +82,7 @@ def _lines(raw: RawZone) -> DataFrame:
 def _sales(raw: RawZone) -> Mapped:
     line, invoice, customer = (
         raw.table("InvoiceLine").alias("l"),
-        raw.table("Invoice").alias("h"),
+        with_date_key(raw.table("Invoice"), "InvoiceDate").alias("h"),
         raw.table("Customer").alias("c"),
     )
     rows = line.join(invoice, F.col("l.InvoiceId") == F.col("h.InvoiceId")).join(
@@ -78,6 +93,7 @@ def _sales(raw: RawZone) -> Mapped:
         {
             "LineKey": F.col("l.InvoiceLineId").cast("string"),
             "OrderDate": F.col("h.InvoiceDate"),
+            "DateKey": F.col("h.DateKey"),
             "CustomerID": F.col("h.CustomerId"),
             "EmployeeID": F.col("c.SupportRepId"),
             "ProductID": F.col("l.TrackId"),
@@ -98,7 +114,7 @@ CHINOOK = SourceSpec(
     sales=_sales,
     lines=_lines,
     line_key=("InvoiceLineId",),
-    tables=("Artist", "Album", "Customer", "Employee", "Genre", "Invoice", "InvoiceLine", "Track"),
+    tables=tuple(RAW_SCHEMAS),
     primary_keys={
         "Artist": ("ArtistId",),
         "Album": ("AlbumId",),

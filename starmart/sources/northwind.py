@@ -4,10 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions import person_name
+from starmart.functions import person_name, with_date_key
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import ForeignKey, Mapped, SourceSpec
 
+# Raw schemas: the columns the mapping reads, with the source's types. Discount
+# is kept in the raw zone and read by no mapping.
+RAW_SCHEMAS = {
+    "Categories": "CategoryID bigint, CategoryName string",
+    "Customers": "CustomerID string, CompanyName string, ContactName string, City string, "
+    "Region string, Country string, PostalCode string, Phone string",
+    "Employees": "EmployeeID bigint, FirstName string, LastName string, Title string, City string, "
+    "Country string, ReportsTo bigint",
+    "Order Details": "OrderID bigint, ProductID bigint, UnitPrice decimal(18,2), Quantity bigint, "
+    "Discount double",
+    "Orders": "OrderID bigint, CustomerID string, EmployeeID bigint, OrderDate string",
+    "Products": "ProductID bigint, ProductName string, CategoryID bigint, UnitPrice decimal(18,2)",
+}
+
 
 def _customers(raw: RawZone) -> Mapped:
     c = F.col
@@ -63,12 +77,14 @@ def _lines(raw: RawZone) -> DataFrame:
 
 
 def _sales(raw: RawZone) -> Mapped:
-    line, order = raw.table("Order Details").alias("l"), raw.table("Orders").alias("h")
+    line = raw.table("Order Details").alias("l")
+    order = with_date_key(raw.table("Orders"), "OrderDate").alias("h")
     return Mapped(
         line.join(order, F.col("l.OrderID") == F.col("h.OrderID")),
         {
             "LineKey": F.concat_ws("|", F.col("l.OrderID"), F.col("l.ProductID")),
             "OrderDate": F.col("h.OrderDate"),
+            "DateKey": F.col("h.DateKey"),
             "CustomerID": F.col("h.CustomerID"),
             "EmployeeID": F.col("h.EmployeeID"),
             "ProductID": F.col("l.ProductID"),
@@ -89,7 +105,7 @@ NORTHWIND = SourceSpec(
     sales=_sales,
     lines=_lines,
     line_key=("OrderID", "ProductID"),
-    tables=("Categories", "Customers", "Employees", "Order Details", "Orders", "Products"),
+    tables=tuple(RAW_SCHEMAS),
     primary_keys={
         "Categories": ("CategoryID",),
         "Customers": ("CustomerID",),

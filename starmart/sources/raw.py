@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -23,13 +23,17 @@ class RawZone:
     """Named raw tables. ``read`` turns a table name into a lazy DataFrame."""
 
     read: Callable[[str], DataFrame]
+    _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
-        return self.read(name)
+        """The table; its files are listed and its schema read once per zone."""
+        if name not in self._opened:
+            self._opened[name] = self.read(name)
+        return self._opened[name]
 
     def replacing(self, **tables: DataFrame) -> RawZone:
         """The same zone with some tables replaced."""
-        return RawZone(lambda name: tables[name] if name in tables else self.read(name))
+        return RawZone(lambda name: tables[name] if name in tables else self.table(name))
 
     @classmethod
     def parquet(cls, spark: SparkSession, root: str, suffix: str = ".parquet") -> RawZone:

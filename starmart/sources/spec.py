@@ -24,8 +24,10 @@ class Mapped:
     rows: DataFrame
     rules: dict[str, Column]
 
-    def type_of(self, target: str) -> DataType:
-        return self.rows.select(self.rules[target]).schema[0].dataType
+    def evaluated(self) -> tuple[DataFrame, dict[str, DataType]]:
+        """The rules as columns named after their targets, and the types they came out with."""
+        df = self.rows.select(*[rule.alias(target) for target, rule in self.rules.items()])
+        return df, {f.name: f.dataType for f in df.schema.fields}
 
 
 @dataclass(frozen=True)
@@ -43,9 +45,10 @@ class SourceSpec:
     ``customers``, ``employees`` and ``products`` map to the dimension's
     attributes with *native* ids; prefixes are added by the builders, so that
     dimension and fact cannot differ. ``dates`` maps headers to ``OrderDate``.
-    ``sales`` maps joined lines to ``LineKey``, ``OrderDate``, ``CustomerID``,
-    ``EmployeeID``, ``ProductID``, ``Quantity``, ``UnitPrice`` and, where the
-    source stores the line amount itself, ``Amount``. ``lines`` gives the line
+    ``sales`` maps joined lines to ``LineKey``, ``OrderDate`` as delivered, its
+    ``DateKey`` (see ``with_date_key``), ``CustomerID``, ``EmployeeID``,
+    ``ProductID``, ``Quantity`` and ``UnitPrice``, or ``Amount`` where the source
+    stores the amount of the line. ``lines`` gives the line
     rows before any join, to count what the joins lose.
     """
 

@@ -18,6 +18,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from starmart.functions import with_date_key
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import ForeignKey, Mapped, Source, SourceSpec, union_all
 
@@ -89,12 +90,14 @@ def _order_lines(raw: RawZone) -> DataFrame:
 
 
 def _order_sales(raw: RawZone) -> Mapped:
-    line, header = raw.table("lineitem"), raw.table("orders")
+    line = raw.table("lineitem")
+    header = with_date_key(raw.table("orders"), "o_orderdate")
     return Mapped(
         line.join(header, line["l_orderkey"] == header["o_orderkey"]),
         {
             "LineKey": F.concat_ws("|", F.col("l_orderkey"), F.col("l_linenumber")),
             "OrderDate": F.col("o_orderdate"),
+            "DateKey": F.col("DateKey"),
             "CustomerID": F.col("o_custkey"),
             # Role play: returned lines stand for lines without an employee.
             "EmployeeID": F.when(F.col("l_returnflag") != "R", F.col("l_suppkey")),
@@ -192,12 +195,13 @@ def _events_as_source(event_type: str, system_id: int, name: str, prefix: str) -
         return Mapped(lines(raw), {"OrderDate": F.col("ts")})
 
     def sales(raw: RawZone) -> Mapped:
-        events, customer = lines(raw), raw.table("customer")
+        events, customer = with_date_key(lines(raw), "ts"), raw.table("customer")
         return Mapped(
             events.join(customer, events["user_id"] == customer["c_custkey"]),
             {
                 "LineKey": F.col("event_id").cast("string"),
                 "OrderDate": F.col("ts"),
+                "DateKey": F.col("DateKey"),
                 "CustomerID": F.col("user_id"),
                 "EmployeeID": F.concat(F.lit("N"), "c_nationkey"),
                 "ProductID": event_product(),
@@ -282,10 +286,11 @@ def _intake_dates(raw: RawZone) -> Mapped:
 
 def _intake_sales(raw: RawZone) -> Mapped:
     return Mapped(
-        intake_lines(raw),
+        with_date_key(intake_lines(raw), "order_date"),
         {
             "LineKey": F.col("event_id").cast("string"),
             "OrderDate": F.col("order_date"),
+            "DateKey": F.col("DateKey"),
             "CustomerID": F.col("customer"),
             "EmployeeID": F.lit(None).cast("string"),
             "ProductID": F.col("product"),
