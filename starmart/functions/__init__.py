@@ -1,6 +1,6 @@
 from starmart.functions.dates import calendar_columns, date_key, parse_date, with_date_key
 from starmart.functions.keys import canonical_key, person_name, strip
-from starmart.functions.measures import line_amount, money, quantity
+from starmart.functions.measures import line_amount, money, quantity, surely_fits
 
 __all__ = [
     "calendar_columns",
@@ -12,5 +12,6 @@ __all__ = [
     "person_name",
     "quantity",
     "strip",
+    "surely_fits",
     "with_date_key",
 ]

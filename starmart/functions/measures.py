@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from functools import reduce
+
+from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DataType, NumericType
 
 from starmart.schema import MONEY
 
+# Decimal(18,2) and bigint hold numbers ten times this size.
+SAFE_SIZE = 1e15
 
 def quantity(raw: Column) -> Column:
     return raw.try_cast("bigint")
@@ -18,3 +23,15 @@ def money(raw: Column) -> Column:
 def line_amount(price: Column, units: Column) -> Column:
     """Line price times quantity. Discounts, freight and header totals have no part in it."""
     return (money(price) * quantity(units)).try_cast(MONEY)
+
+
+def surely_fits(numbers: list[Column], types: list[DataType]) -> Column:
+    """Whether numbers are of ordinary size, by a comparison of doubles; never NULL.
+
+    A cheap way past the exact test (a conversion to decimal, dear on every line
+    of a large fact). Text, NULL, NaN and sizes near the limit are not sure.
+    """
+    if not all(isinstance(t, NumericType) for t in types):
+        return F.lit(False)
+    small = [F.abs(n.cast("double")) < SAFE_SIZE for n in numbers]
+    return F.coalesce(reduce(Column.__and__, small), F.lit(False))

@@ -11,6 +11,7 @@ from starmart.functions import (
     line_amount,
     money,
     quantity,
+    surely_fits,
 )
 from starmart.schema import FACT_SALES, conform
 from starmart.sources.spec import Source, union_all
@@ -19,8 +20,9 @@ from starmart.sources.spec import Source, union_all
 def staged_sales(source: Source) -> DataFrame:
     """Joined lines of one source: the fact columns next to the values they came from.
 
-    Unusable dates and measures are NULL here; the quality operators read the
-    raw columns, the fact leaves them out and they are pruned from the scan.
+    Unusable dates and measures are NULL here; ``Usable`` tells whether both
+    measures have a value. The quality operators read the raw columns, the fact
+    leaves them out and they are pruned from the scan.
     """
     spec = source.spec
     df, types = spec.sales(source.raw).evaluated()
@@ -31,8 +33,14 @@ def staged_sales(source: Source) -> DataFrame:
     units = F.col("Quantity")
     if "Amount" in types:
         price, amount = F.col("Amount"), money(F.col("Amount"))
+        sizes, inputs = [units, price], ["Quantity", "Amount"]
     else:
-        price, amount = F.col("UnitPrice"), line_amount(F.col("UnitPrice"), units)
+        price = F.col("UnitPrice")
+        amount = line_amount(price, units)
+        product = price.cast("double") * units.cast("double")
+        sizes, inputs = [units, price, product], ["Quantity", "UnitPrice"]
+    exact = quantity(units).isNotNull() & amount.isNotNull()
+    usable = surely_fits(sizes, [types[name] for name in inputs]) | exact
     return df.select(
         "LineKey",
         F.col("OrderDate").cast("string").alias("RawDate"),
@@ -45,16 +53,13 @@ def staged_sales(source: Source) -> DataFrame:
         F.lit(spec.system_id).alias("SourceSystemID"),
         quantity(units).alias("SalesQuantity"),
         amount.alias("SalesAmount"),
+        usable.alias("Usable"),
     )
 
 
-def loadable() -> Column:
-    """Both measures are usable. Other rows go to quarantine, they are never patched."""
-    return F.col("SalesQuantity").isNotNull() & F.col("SalesAmount").isNotNull()
-
-
 def sales_of(source: Source) -> DataFrame:
-    return conform(staged_sales(source).where(loadable()), FACT_SALES)
+    """Lines with usable measures. Other lines go to quarantine, they are never patched."""
+    return conform(staged_sales(source).where("Usable"), FACT_SALES)
 
 
 def fact_sales(sources: Sequence[Source]) -> DataFrame:

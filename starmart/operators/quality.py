@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.operators.dims import customers_of, dates_of, employees_of, calendar, products_of
-from starmart.operators.fact import loadable, sales_of, staged_sales
+from starmart.operators.fact import sales_of, staged_sales
 from starmart.schema import STAR_TABLES
 from starmart.sources.spec import ForeignKey, Source, union_all
 
@@ -151,7 +151,7 @@ def bad_measures(source: Source) -> DataFrame:
         "RawQuantity",
         "RawPrice",
         "Reason",
-        loadable().alias("Loaded"),
+        F.col("Usable").alias("Loaded"),
     )
 
 
@@ -160,8 +160,8 @@ def triage(source: Source) -> DataFrame:
 
     Only a measure that is no number keeps a line out of the fact.
     """
-    status = F.when(loadable(), "loaded").otherwise("rejected")
-    reason = F.when(~loadable(), measure_fault())
+    status = F.when(F.col("Usable"), "loaded").otherwise("rejected")
+    reason = F.when(~F.col("Usable"), measure_fault())
     return staged_sales(source).withColumns({"Status": status, "Reason": reason})
 
 
@@ -193,7 +193,7 @@ def source_volume(sources: Sequence[Source]) -> DataFrame:
         spec = source.spec
         delivered = spec.lines(source.raw).agg(F.count("*").alias("SourceLines"))
         joined = staged_sales(source).agg(
-            F.count("*").alias("JoinedLines"), F.count_if(loadable()).alias("FactRows")
+            F.count("*").alias("JoinedLines"), F.count_if(F.col("Usable")).alias("FactRows")
         )
         both = delivered.unionByName(joined, allowMissingColumns=True)  # two rows
         counts = both.agg(*[F.max(c).alias(c) for c in ("SourceLines", "JoinedLines", "FactRows")])

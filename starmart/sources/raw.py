@@ -36,8 +36,22 @@ class RawZone:
         return RawZone(lambda name: tables[name] if name in tables else self.table(name))
 
     @classmethod
-    def parquet(cls, spark: SparkSession, root: str, suffix: str = ".parquet") -> RawZone:
-        return cls(lambda name: spark.read.parquet(f"{root.rstrip('/')}/{name}{suffix}"))
+    def parquet(
+        cls,
+        spark: SparkSession,
+        root: str,
+        suffix: str = ".parquet",
+        schemas: Mapping[str, str] | None = None,
+    ) -> RawZone:
+        """Files named after their table. Declared schemas spare a look into the files."""
+
+        def read(name: str) -> DataFrame:
+            reader = spark.read
+            if schemas and name in schemas:
+                reader = reader.schema(schemas[name])
+            return reader.parquet(f"{root.rstrip('/')}/{name}{suffix}")
+
+        return cls(read)
 
     @classmethod
     def frames(cls, tables: Mapping[str, DataFrame]) -> RawZone:

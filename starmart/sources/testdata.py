@@ -22,6 +22,22 @@ from starmart.functions import with_date_key
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import ForeignKey, Mapped, Source, SourceSpec, union_all
 
+RAW_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+    "p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+    "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+    "props string",
+}
+
 PRIMARY_KEYS = {
     "region": ("r_regionkey",),
     "nation": ("n_nationkey",),
@@ -313,7 +329,7 @@ INTAKE = replace(
 
 def sources(spark: SparkSession, root: str, *specs: SourceSpec) -> list[Source]:
     """The given systems (ORDERS and EVENTS by default) over the driver's parquet folder."""
-    raw = RawZone.parquet(spark, root)
+    raw = RawZone.parquet(spark, root, schemas=RAW_SCHEMAS)
     return [Source(spec, raw) for spec in specs or (ORDERS, EVENTS)]
 
 
