@@ -84,5 +84,5 @@ def calendar(days: DataFrame) -> DataFrame:
 
 
 def dim_time(sources: Sequence[Source]) -> DataFrame:
-    """Only the dates that occur in some source, ordered by key."""
-    return calendar(union_all(dates_of(s) for s in sources)).orderBy("DateKey")
+    """Only the dates that occur in some source."""
+    return calendar(union_all(dates_of(s) for s in sources))

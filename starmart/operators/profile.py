@@ -11,11 +11,19 @@ from starmart.sources.spec import Source, union_all
 SYSTEM_TABLE_PREFIX = "sqlite_"
 
 
+def system_tables(names: Sequence[str], prefix: str = SYSTEM_TABLE_PREFIX) -> list[str]:
+    """The tables among ``names`` that belong to the storage system, not to the business."""
+    return sorted(n for n in names if n.lower().startswith(prefix))
+
+
 def table_inventory(sources: Sequence[Source], system_prefix: str = SYSTEM_TABLE_PREFIX) -> DataFrame:
-    """Records and columns of every business table; tables of the storage system are left out."""
+    """Records and columns of every business table; tables of the storage system are not read."""
     tables = []
     for source in sources:
+        left_out = system_tables(source.spec.tables, system_prefix)
         for name in source.spec.tables:
+            if name in left_out:
+                continue
             df = source.raw.table(name)
             tables.append(
                 df.agg(F.count("*").alias("RecordCount")).select(
@@ -25,8 +33,7 @@ def table_inventory(sources: Sequence[Source], system_prefix: str = SYSTEM_TABLE
                     F.lit(len(df.columns)).alias("ColumnCount"),
                 )
             )
-    inventory = union_all(tables)
-    return inventory.where(~F.lower("TableName").startswith(system_prefix))
+    return union_all(tables)
 
 
 def source_inventory(sources: Sequence[Source]) -> DataFrame:
@@ -47,23 +54,37 @@ def source_inventory(sources: Sequence[Source]) -> DataFrame:
     )
 
 
-def profile_columns(name: str, df: DataFrame) -> DataFrame:
-    """Type, declared nullability, filled and missing values of each column of a table: one pass."""
+def profile_table(name: str, df: DataFrame, primary_key: Sequence[str] = ()) -> DataFrame:
+    """Type, declared nullability, key membership, filled and missing values of each column: one pass."""
     counts = df.agg(F.count("*").alias("RowCount"), *[F.count(c).alias(c) for c in df.columns])
     long = counts.unpivot(["RowCount"], df.columns, "ColumnName", "FilledRows")
     types = F.create_map(
         *[F.lit(v) for f in df.schema.fields for v in (f.name, f.dataType.simpleString())]
     )
+    nullable = [f.name for f in df.schema.fields if f.nullable]
     return long.select(
         F.lit(name).alias("TableName"),
         "ColumnName",
         types[F.col("ColumnName")].alias("DataType"),
+        F.col("ColumnName").isin(nullable).alias("Nullable"),
+        F.col("ColumnName").isin(list(primary_key)).alias("IsPrimaryKey"),
         "RowCount",
         "FilledRows",
         (F.col("RowCount") - F.col("FilledRows")).alias("MissingRows"),
     )
 
 
+def profile_columns(sources: Sequence[Source]) -> DataFrame:
+    """The column inventory of every source, with what its data holds."""
+    profiles = []
+    for source in sources:
+        for name in source.spec.tables:
+            keys = source.spec.primary_keys.get(name, ())
+            profile = profile_table(name, source.raw.table(name), keys)
+            profiles.append(profile.withColumn("SourceSystem", F.lit(source.spec.name)))
+    return union_all(profiles)
+
+
 def pk_uniqueness(source: Source) -> DataFrame:
     """Whether each declared primary key of a source is unique and filled on its data.
 

