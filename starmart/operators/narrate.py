@@ -23,8 +23,10 @@ def describe_fact_rows(
     employee that is found, its title is optional. Texts that depend on one
     dimension only are made on the dimension, before the join.
 
-    DimTime and DimSourceSystem are broadcast: one row per calendar date that
-    occurs and one per registered source.
+    DimTime and DimSourceSystem are broadcast. The calendar bounds the first:
+    four-digit years hold 3.7 million dates, a century 36,525. The second has one
+    row per registered source. The other dimensions grow with the data and are
+    broadcast only if Spark finds them small.
     """
     dates = dim_time.select(
         "DateKey", F.date_format("FullDate", "MMMM d, yyyy").alias("__date")
@@ -48,6 +50,7 @@ def describe_fact_rows(
     rows = lookup(rows, customers, "CustomerID")
     rows = lookup(rows, products, "ProductID")
 
+    # The wording of the sentence.
     sentence = F.concat(
         F.lit("On "),
         F.coalesce(F.col("__date"), F.col("DateKey").cast("string"), F.lit("<NA>")),
