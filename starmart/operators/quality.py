@@ -51,13 +51,15 @@ def key_usage(
 
     Uses and definitions are stacked and grouped, so the fact is read once, no
     join takes place, and a hot key costs one row per task. NULL keys refer to
-    nothing and are left out.
+    nothing and are left out; DimTime and DimSourceSystem have none, so no test
+    is pushed into the making of their rows.
     """
     text_keys = [F.col(k).cast("string").alias(k) for k in FACT_KEYS]
-    used = _unpivot(fact.select(*text_keys), [], FACT_KEYS, "ForeignKey", "KeyValue")
+    given = F.col("KeyValue").isNotNull()
+    used = _unpivot(fact.select(*text_keys), [], FACT_KEYS, "ForeignKey", "KeyValue").where(given)
     managers = dim_employee.select(
         F.lit("ReportsTo").alias("ForeignKey"), F.col("ReportsTo").alias("KeyValue")
-    )
+    ).where(given)
 
     def defined(dim: DataFrame, column: str, foreign_key: str | None = None) -> DataFrame:
         return dim.select(
@@ -68,18 +70,17 @@ def key_usage(
     members = union_all(
         [
             defined(dim_time, "DateKey"),
-            defined(dim_customer, "CustomerID"),
-            defined(dim_employee, "EmployeeID"),
-            defined(dim_employee, "EmployeeID", "ReportsTo"),
-            defined(dim_product, "ProductID"),
+            defined(dim_customer, "CustomerID").where(given),
+            defined(dim_employee, "EmployeeID").where(given),
+            defined(dim_employee, "EmployeeID", "ReportsTo").where(given),
+            defined(dim_product, "ProductID").where(given),
             defined(dim_source_system, "SourceSystemID"),
         ]
     )
     uses = used.unionByName(managers).select("ForeignKey", "KeyValue", F.lit(1).alias("Use"))
     stacked = uses.unionByName(members.select("ForeignKey", "KeyValue", F.lit(0).alias("Use")))
     return (
-        stacked.where(F.col("KeyValue").isNotNull())
-        .groupBy("ForeignKey", "KeyValue")
+        stacked.groupBy("ForeignKey", "KeyValue")
         .agg(
             F.sum("Use").alias("UsingRows"), F.sum(1 - F.col("Use")).alias("DefiningRows")
         )

@@ -16,7 +16,10 @@ def local_session(cores: int | str = 8, **settings: str) -> SparkSession:
         # Call sites for error messages cost several round trips per column expression.
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A hot key is split from this size on; the default of 256 MB suits executors.
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "16MB")
+        .config("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "3")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "16MB")
     )
     for name, value in settings.items():
         builder = builder.config(name, value)

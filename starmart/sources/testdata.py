@@ -260,17 +260,18 @@ def _every(n: int, remainder: int) -> Column:
 
 def intake_lines(raw: RawZone) -> DataFrame:
     """Every event as a line of text, with faults at fixed places."""
-    full = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
-    day = F.date_format("ts", "yyyy-MM-dd")
+    text = F.col("ts").cast("string")
+    full, day, year = (F.substring(text, 1, n) for n in (19, 10, 4))
+    american = F.concat_ws("/", F.substring(text, 6, 2), F.substring(text, 9, 2), year)
     price = F.col("value").cast("decimal(18,2)").cast("string")
     return raw.table("events").select(
         "event_id",
         F.when(_every(50, 0), "junk")
         .when(_every(50, 1), "")
         .when(_every(50, 2), F.lit(None))
-        .when(_every(50, 3), F.date_format("ts", "MM/dd/yyyy"))
+        .when(_every(50, 3), american)
         .when(_every(50, 4), F.concat(day, F.lit(" 25:99:99")))
-        .when(_every(50, 5), F.date_format("ts", "yyyy"))
+        .when(_every(50, 5), year)
         .when(_every(2, 0), day)
         .otherwise(full)
         .alias("order_date"),
