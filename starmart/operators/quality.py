@@ -183,6 +183,28 @@ def quarantine(source: Source) -> tuple[DataFrame, DataFrame]:
     return loaded, rejected
 
 
+def violations(source: Source) -> DataFrame:
+    """All findings on a source's lines in one shape, to be logged: rule, line and reason.
+
+    Dates and measures are judged in one pass over the lines; a line with both
+    faults gives two findings.
+    """
+    spec_id = F.lit(source.spec.system_id).alias("SourceSystemID")
+    faults = F.array(
+        F.struct(F.lit("date").alias("Rule"), date_fault().alias("Reason")),
+        F.struct(F.lit("measure").alias("Rule"), measure_fault().alias("Reason")),
+    )
+    lines = staged_sales(source).select("LineKey", F.explode(faults).alias("fault"))
+    judged = lines.select("fault.Rule", spec_id, "LineKey", "fault.Reason")
+    repeated = duplicate_lines(source).select(
+        F.lit("duplicate line").alias("Rule"),
+        "SourceSystemID",
+        "LineKey",
+        F.concat("Copies", F.lit(" copies")).alias("Reason"),
+    )
+    return judged.where(F.col("Reason").isNotNull()).unionByName(repeated)
+
+
 def source_volume(sources: Sequence[Source]) -> DataFrame:
     """Lines delivered and lines loaded per source.
 

@@ -259,6 +259,9 @@ QUERIES: dict[str, Query] = {
     "quarantine": _on_star(
         lambda s: quality.triage(s.sources[0]).select("LineKey", "Status", "Reason"), INTAKE
     ),
+    "dq_violations": _on_star(
+        lambda s: union_all(quality.violations(source) for source in s.sources), ORDERS, INTAKE
+    ),
     "third_source": _third_source,
     "source_volume": _on_star(lambda s: quality.source_volume(s.sources), ORDERS, EVENTS, INTAKE),
     # profile

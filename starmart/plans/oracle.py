@@ -572,6 +572,16 @@ ORACLE: dict[str, str] = {
       CASE WHEN NOT ok THEN Reason END AS Reason
       FROM (SELECT *, {MEASURE_FAULT} AS Reason, SalesQuantity IS NOT NULL AND Price IS NOT NULL AS ok
             FROM intake) i""",
+    "dq_violations": _with(INTAKE.rsplit(",\nintake_fact", 1)[0])
+    + f"""SELECT 'duplicate line' AS Rule, 1 AS SourceSystemID,
+        CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS LineKey,
+        CAST(count(*) AS VARCHAR) || ' copies' AS Reason
+      FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+      UNION ALL SELECT 'date', 4, LineKey,
+        CASE WHEN coalesce(trim(RawDate), '') = '' THEN 'date missing' ELSE 'date not readable' END
+      FROM intake WHERE DateKey IS NULL
+      UNION ALL SELECT 'measure', 4, LineKey, Reason
+      FROM (SELECT *, {MEASURE_FAULT} AS Reason FROM intake) i WHERE Reason IS NOT NULL""",
     "third_source": _with(FACT, FACT3)
     + """, b AS (SELECT SourceSystemID, count(*) AS n, sum(SalesAmount) AS a FROM fact GROUP BY 1),
       c AS (SELECT SourceSystemID, count(*) AS n, sum(SalesAmount) AS a FROM fact3 GROUP BY 1)

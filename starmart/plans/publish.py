@@ -24,6 +24,7 @@ from starmart.operators.dims import (
 )
 from starmart.operators.fact import sales_of
 from starmart.operators.filters import filter_sales
+from starmart.operators.quality import quarantine, violations
 from starmart.plans.star import Star
 from starmart.schema import (
     DIM_CUSTOMER,
@@ -143,3 +144,17 @@ def retain_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     Lines and headers bucketed alike join without a shuffle, run after run.
     """
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(table)
+
+
+def log_violations(source: Source, path: str, load: str) -> None:
+    """Keep the findings on one load of a source, by rule."""
+    target = f"{path}/{PARTITION}={source.spec.system_id}/load={load}"
+    findings = violations(source).drop(PARTITION).hint("rebalance", "Rule")
+    findings.write.mode("overwrite").partitionBy("Rule").parquet(target)
+
+
+def write_quarantine(source: Source, path: str, load: str) -> None:
+    """Keep the lines of one load that could not be loaded, with raw values and reason."""
+    _, rejected = quarantine(source)
+    target = f"{path}/{PARTITION}={source.spec.system_id}/load={load}"
+    rejected.drop(PARTITION).hint("rebalance").write.mode("overwrite").parquet(target)

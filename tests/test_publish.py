@@ -8,10 +8,12 @@ from starmart import RawZone, Source, Star
 from starmart.operators import bi
 from starmart.plans.publish import (
     PublishedStar,
+    log_violations,
     publish,
     publish_source,
     retain_bucketed,
     retain_raw,
+    write_quarantine,
 )
 
 
@@ -83,6 +85,39 @@ def test_a_reload_drops_years_that_are_gone(spark, star, tmp_path):
     assert rows(made.sales(["Northwind"])) == rows(Star(spark, [reloaded]).fact_sales)
 
 
+def test_a_hot_year_is_written_by_many_tasks(spark, food, tmp_path, no_broadcast):
+    """All lines in one year: the write is split by size, and nothing is lost."""
+    lines = spark.range(200000).selectExpr(
+        "20000 + id % 100 as OrderID",
+        "id as ProductID",
+        "cast(id % 1000 as decimal(18,2)) as UnitPrice",
+        "id as Quantity",
+    )
+    orders = spark.range(20000, 20100).selectExpr(
+        "id as OrderID", "'VINET' as CustomerID", "5L as EmployeeID", "'2016-07-04' as OrderDate"
+    )
+    source = Source(food.spec, food.raw.replacing(**{"Order Details": lines, "Orders": orders}))
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "256KB")
+    try:
+        publish_source(spark, source, str(tmp_path))
+    finally:
+        spark.conf.set(name, before)
+    written = list((tmp_path / "FactSales" / "SourceSystemID=2" / "Year=2016").glob("*.parquet"))
+    assert len(written) > 1  # a plain shuffle by year would write one
+    assert PublishedStar(spark, str(tmp_path)).fact_sales.count() == 200000
+
+
+def test_findings_and_rejected_lines_are_kept_per_load(spark, food, tmp_path):
+    log_violations(food, f"{tmp_path}/findings", "a")
+    write_quarantine(food, f"{tmp_path}/rejected", "a")
+    findings = spark.read.parquet(f"{tmp_path}/findings")
+    assert Counter(r.Rule for r in findings.collect()) == {"date": 3, "measure": 1}
+    (row,) = spark.read.parquet(f"{tmp_path}/rejected").collect()
+    assert (row.LineKey, row.RawPrice, row.Reason, row.load) == ("10250|42", "3.00", "quantity missing", "a")
+
+
 def test_raw_zone_keeps_every_column_of_every_load(spark, food, tmp_path):
     for load in ("2024-01-01", "2024-01-02"):
         retain_raw(food, str(tmp_path), load)

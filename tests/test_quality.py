@@ -102,6 +102,21 @@ def test_measure_rules_on_text(spark, food, quantity, price, reason, loaded):
     assert Star(spark, [source]).fact_sales.count() == int(loaded)
 
 
+def test_violations_lists_every_finding(food):
+    again = food.raw.table("Order Details").where("OrderID = 10250 and ProductID = 42")
+    raw = food.raw.replacing(**{"Order Details": food.raw.table("Order Details").union(again)})
+    made = sorted(rows(quality.violations(Source(food.spec, raw))))
+    assert made == [
+        ("date", 2, "10250|42", "date missing"),
+        ("date", 2, "10250|42", "date missing"),
+        ("date", 2, "10250|77", "date missing"),
+        ("date", 2, "10251|11", "date missing"),
+        ("duplicate line", 2, "10250|42", "2 copies"),
+        ("measure", 2, "10250|42", "quantity missing"),
+        ("measure", 2, "10250|42", "quantity missing"),
+    ]
+
+
 def test_source_volume_accounts_for_every_line(star):
     made = {r.SourceSystemName: tuple(r)[2:] for r in quality.source_volume(star.sources).collect()}
     assert made == {"Chinook": (6, 2, 0, 4), "Northwind": (8, 1, 1, 6)}
