@@ -24,11 +24,14 @@ def _digits(text: Column) -> Column:
 def parse_date(value: Column, data_type: DataType) -> Column:
     """Calendar date of a date, timestamp or text column; unusable text gives NULL.
 
-    Text may mix ``2016-07-04`` and ``2023-08-29 09:23:46``.
+    Text may mix ``2016-07-04`` and ``2023-08-29 09:23:46``. Years have one to
+    four digits: a timestamp beyond has no YYYYMMDD key and counts as unusable.
     """
     if isinstance(data_type, StringType):
         return F.when(_readable(value), _digits(value).cast("date"))
-    return value.cast("date")
+    day = value.cast("date")
+    first, last = (F.lit(text).cast("date") for text in ("0001-01-01", "9999-12-31"))
+    return F.when(day.between(first, last), day)
 
 
 def date_key(day: Column) -> Column:

@@ -71,5 +71,9 @@ def describe_fact_rows(
 
 
 def nth_fact_row(fact: DataFrame, n: int) -> DataFrame:
-    """One row of the (filtered) fact by position, counted from 0 in the order of all columns."""
+    """One row of the (filtered) fact by position, counted from 0 in the order of all columns.
+
+    A sorted top list: every task keeps its first n + 1 rows, so this is for
+    paging near the start. To show a known line, filter by its keys instead.
+    """
     return fact.orderBy(*FACT_SALES.names).offset(n).limit(1)

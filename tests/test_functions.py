@@ -80,6 +80,12 @@ def test_parse_date_of_typed_columns(spark):
     assert tuple(parsed.first()) == (date(2016, 7, 4), date(2016, 7, 4))
 
 
+def test_years_beyond_four_digits_are_unusable(spark):
+    df = spark.sql("SELECT make_date(12345, 6, 7) AS d, timestamp_ntz '+294247-01-10 00:00:00' AS t")
+    keys = df.select(*[key_of(F.col(f.name), f.dataType) for f in df.schema.fields])
+    assert tuple(keys.first()) == (None, None)
+
+
 def test_date_key(spark):
     made = date_key(F.col("d"))
     rows = [(date(2016, 7, 4),), (date(1999, 12, 31),), (None,)]
