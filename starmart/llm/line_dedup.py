@@ -186,7 +186,7 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     before and deleted, blank ones not counted) are replaced, others are kept.
 
     The first copy is that of the least (doc_id, text hash, line); a null id counts
-    as 0. Copies may overlap: of n equal lines only the first part stays. Blank lines
+    as 0. Copies may overlap: lines that repeat one after another keep their first period. Blank lines
     go only with the lines around them. A line without words other than control
     characters counts as one word. Rows equal in doc_id and text are one document:
     neither is the other's copy, and both get the same text. A null text stays null,

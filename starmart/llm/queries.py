@@ -18,6 +18,7 @@ from starmart.llm import (
     topk,
     url_reputation,
 )
+from starmart.llm.oracle import ORACLE  # noqa: F401
 from starmart.llm.shipping import ship
 
 SHARDS = 24
@@ -120,5 +121,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_benchmark_hits": benchmark_hits,
     "op10_near_duplicates": near_duplicate_classes,
 }
-
-ORACLE: dict[str, str] = {}

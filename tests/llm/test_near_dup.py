@@ -1,0 +1,93 @@
+import pytest
+
+from starmart.llm import components, near_dup, words
+from tests.llm import data
+
+
+def brute_force(rows):
+    """doc_id's (n_shingles, component_id), for rows with ids."""
+    rows = [r for r in rows if r[0] is not None]
+    sets = {r[0]: data.shingles(r[1]) for r in rows}
+    label = {i: i for i in sets}
+
+    def root(i):
+        while label[i] != i:
+            i = label[i]
+        return i
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b]:
+                if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b]):
+                    low, high = sorted((root(a), root(b)))
+                    label[high] = low
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+@pytest.fixture(scope="module")
+def rows():
+    return data.corpus()
+
+
+def test_classes_are_those_of_all_pairs(spark, rows):
+    df = spark.createDataFrame(rows, data.DOCUMENT)
+    expected = brute_force(rows)
+    found = near_dup.near_duplicates(data.with_clashes(df, "node", "label", "key", "halves")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        if r.doc_id is not None:
+            assert (r.n_shingles, r.component_id) == expected[r.doc_id], r
+            assert r.kept == (r.doc_id == r.component_id)
+        else:
+            assert r.component_id is None and r.kept
+    assert any(r.component_id != r.doc_id for r in found)
+
+
+def test_one_of_each_class_stays(spark, rows):
+    df = data.with_clashes(spark.createDataFrame(rows, data.DOCUMENT), "node", "text_hash", "rank")
+    kept = near_dup.without_near_duplicates(df)
+    assert kept.columns == df.columns
+    ids = [r.doc_id for r in kept.collect() if r.doc_id is not None]
+    expected = {c for i, (n, c) in brute_force(rows).items()}
+    assert sorted(ids) == sorted(expected)
+
+
+def test_open_pairs_come_last_and_are_found(spark, monkeypatch):
+    """A chain whose first members differ is linked only by comparing across components."""
+    base = [f"t{i}" for i in range(100)]
+    texts = []
+    for step in range(6):
+        changed = list(base)
+        for k in range(step * 3):
+            changed[k * 5 + 2] = f"c{k}"
+        texts.append(" ".join(changed))
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, data.DOCUMENT)).collect()
+    expected = brute_force(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
+
+
+def test_no_rows(spark):
+    none = spark.createDataFrame([], data.DOCUMENT)
+    assert near_dup.near_duplicates(none).count() == 0
+    assert near_dup.without_near_duplicates(none).count() == 0
+    assert near_dup.without_near_duplicates(none).columns == none.columns
+
+
+def test_components_of_chains_stars_and_loops(spark):
+    edges = [(i, i + 1) for i in range(40)] + [(100, 101), (102, 101), (103, 101), (101, 101), (101, 100)]
+    found = components.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    label = {r.node: r.label for r in found}
+    assert all(label[i] == 0 for i in range(41))
+    assert all(label[i] == 100 for i in range(100, 104))
+    assert components.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+@pytest.mark.parametrize("piece", [64, 1 << 19])
+def test_hashed_sets_have_the_size_of_real_ones(monkeypatch, piece):
+    monkeypatch.setattr(words, "PIECE", piece)
+    texts = [r[1] for r in data.corpus(3, 2)]
+    for first, sets, bounds in words.shingle_sets(texts):
+        for k in range(len(bounds) - 1):
+            assert bounds[k + 1] - bounds[k] == len(data.shingles(texts[first + k]))
