@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DataType, StringType
 
-# ISO calendar date, alone or followed by a time of day.
-ISO_DATE = r"^ *\d{4}-\d{2}-\d{2}([ T].*)?$"
+# ISO calendar date from year 1 on, alone or followed by a time of day.
+ISO_DATE = r"^ *(?!0000)\d{4}-\d{2}-\d{2}([ T].*)?$"
 
 
 def _readable(text: Column) -> Column:

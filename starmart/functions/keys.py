@@ -28,3 +28,9 @@ def person_name(first: Column, last: Column) -> Column:
     empty = F.lit("")
     joined = F.concat(strip(F.coalesce(first, empty)), F.lit(" "), strip(F.coalesce(last, empty)))
     return strip(joined)
+
+
+def line_key(*columns: str) -> Column:
+    """One text for a key of several columns; a NULL part is empty and keeps its place."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in columns]
+    return F.array_join(F.array(*parts), "|")

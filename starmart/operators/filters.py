@@ -2,12 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
+from dataclasses import dataclass
 from datetime import date
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 
+@dataclass(frozen=True)
+class Selection:
+    """What a user has picked: sources by name and a range of days; None leaves that open."""
+
+    sources: Collection[str] | None = None
+    first: date | None = None
+    last: date | None = None
+
+    def covers(self, names: Collection[str], first: date | None, last: date | None) -> bool:
+        """Whether nothing of the named sources between two days is left out."""
+        everyone = self.sources is None or set(names) <= set(self.sources)
+        early = self.first is None or (first is not None and self.first <= first)
+        late = self.last is None or (last is not None and self.last >= last)
+        return everyone and early and late
+
+
 def as_key(day: date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 

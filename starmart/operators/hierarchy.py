@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from starmart.operators.joins import lookup
-from starmart.sources.spec import union_all
-
-MAX_LEVELS = 100
+from starmart.scratch import discard, stored
 
 
 def employee_manager(dim_employee: DataFrame) -> DataFrame:
@@ -23,82 +19,80 @@ def employee_manager(dim_employee: DataFrame) -> DataFrame:
     return lookup(staff, managers, "ReportsTo", "ManagerID")
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder the cluster names in ``spark.checkpoint.dir``; in local mode make one if it is unset."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured is None:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        configured = tempfile.mkdtemp(prefix="starmart-checkpoint-")
-    context.setCheckpointDir(configured)
+def self_reports(dim_employee: DataFrame) -> DataFrame:
+    """Employees who are their own manager: a finding; the roll-up takes them as the head of their team."""
+    return dim_employee.where(F.col("EmployeeID") == F.col("ReportsTo")).select(
+        "EmployeeID", "EmployeeName"
+    )
+
+
+def _doubled(state: DataFrame) -> DataFrame:
+    """From everyone's sums over the levels within some reach, and who stands that far above, twice the reach."""
+    below = (
+        state.where(F.col("Above").isNotNull())
+        .groupBy(F.col("Above").alias("Manager"))
+        .agg(F.sum("Amount").alias("MoreAmount"), F.sum("People").alias("MorePeople"))
+    )
+    further = state.select(F.col("EmployeeID").alias("Middle"), F.col("Above").alias("Further"))
+    joined = state.join(below, F.col("EmployeeID") == F.col("Manager"), "left")
+    joined = joined.join(further, F.col("Above") == F.col("Middle"), "left")
+    return stored(
+        joined.select(
+            "EmployeeID",
+            F.col("Further").alias("Above"),
+            (F.col("Amount") + F.coalesce("MoreAmount", F.lit(0))).cast("decimal(38,2)").alias("Amount"),
+            (F.col("People") + F.coalesce("MorePeople", F.lit(0))).cast("bigint").alias("People"),
+        )
+    )
 
 
 def manager_rollup(fact: DataFrame, dim_employee: DataFrame) -> DataFrame:
     """Sales of each employee and of everyone below them, at any depth.
 
-    Totals move up one level per round: they are summed per manager, then again
-    per manager's manager, until nobody is left above. A round holds one row per
-    manager that still has totals to pass on, so neither a long chain nor a
-    manager of many writes out pairs of employee and superior. Rounds are cut
-    off by a checkpoint, which also tells whether another one is needed.
+    Every employee has one pointer to the superior 2**k levels up and the sums over
+    the 2**k levels from themself down; a round doubles both, so a hierarchy of n
+    levels takes log2(n) rounds of one row per employee. Rounds are tables in the
+    shared folder, the one before is deleted. Jobs run while this is built.
 
-    Raises ValueError if totals still move after MAX_LEVELS rounds: the
-    hierarchy then has a cycle.
+    Who reports to themself or to nobody known heads a team. Raises ValueError if
+    someone still has a superior further up than there are employees: such people
+    stand in a cycle or below one.
     """
-    ensure_checkpoint_dir(dim_employee.sparkSession)
     own = (
         fact.where(F.col("EmployeeID").isNotNull())
         .groupBy("EmployeeID")
         .agg(F.sum("SalesAmount").alias("Amount"))
     )
-    staff = (
-        dim_employee.join(own, "EmployeeID", "left")
-        .select(
+    staff = stored(
+        dim_employee.join(own, "EmployeeID", "left").select(
             "EmployeeID",
             "EmployeeName",
-            "ReportsTo",
+            F.when(F.col("ReportsTo") != F.col("EmployeeID"), F.col("ReportsTo")).alias("ReportsTo"),
             F.coalesce("Amount", F.lit(0)).cast("decimal(38,2)").alias("OwnAmount"),
         )
-        .checkpoint()
-    )
-    manager_of = staff.where(F.col("ReportsTo").isNotNull()).select(
-        "EmployeeID", F.col("ReportsTo").alias("ManagerID")
     )
-    moving = staff.select(
-        "EmployeeID", F.col("OwnAmount").alias("Amount"), F.lit(1).cast("bigint").alias("People")
-    )
-    levels = []
-    for _ in range(MAX_LEVELS):
-        moving = (
-            moving.join(manager_of, "EmployeeID")
-            .groupBy(F.col("ManagerID").alias("EmployeeID"))
-            .agg(
-                F.sum("Amount").cast("decimal(38,2)").alias("Amount"),
-                F.sum("People").alias("People"),
-            )
-            .checkpoint()
-        )
-        if moving.isEmpty():
-            break
-        levels.append(moving)
-    else:
-        raise ValueError(f"employee hierarchy deeper than {MAX_LEVELS} levels, or cyclic")
-
-    if not levels:
-        below = moving
-    else:
-        below = union_all(levels).groupBy("EmployeeID").agg(
-            F.sum("Amount").alias("Amount"), F.sum("People").alias("People")
+    members = staff.count()
+    state = stored(
+        staff.select(
+            "EmployeeID",
+            F.col("ReportsTo").alias("Above"),
+            F.col("OwnAmount").alias("Amount"),
+            F.lit(1).cast("bigint").alias("People"),
         )
-    people = F.coalesce("People", F.lit(0)).cast("bigint")
-    team = (F.col("OwnAmount") + F.coalesce("Amount", F.lit(0))).cast("decimal(38,2)")
-    return staff.join(below, "EmployeeID", "left").select(
+    )
+    reach = 1
+    while not state.where(F.col("Above").isNotNull()).isEmpty():
+        if reach > members:
+            some = [r.EmployeeID for r in state.where(F.col("Above").isNotNull()).orderBy("EmployeeID").take(5)]
+            raise ValueError(f"the employee hierarchy is cyclic; in a cycle or below one: {', '.join(some)}")
+        before, state = state, _doubled(state)
+        discard(before)
+        reach *= 2
+    sums = state.select("EmployeeID", "Amount", "People")
+    return staff.join(sums, "EmployeeID").select(
         "EmployeeID",
         "EmployeeName",
-        people.alias("PeopleBelow"),
+        (F.col("People") - 1).alias("PeopleBelow"),
         F.col("OwnAmount"),
-        team.alias("TeamAmount"),
+        F.col("Amount").alias("TeamAmount"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmart.operators.joins import lookup
 from starmart.schema import FACT_SALES
+from starmart.scratch import stored
 
 
 def describe_fact_rows(
@@ -73,7 +74,19 @@ def describe_fact_rows(
 def nth_fact_row(fact: DataFrame, n: int) -> DataFrame:
     """One row of the (filtered) fact by position, counted from 0 in the order of all columns.
 
-    A sorted top list: every task keeps its first n + 1 rows, so this is for
-    paging near the start. To show a known line, filter by its keys instead.
+    The rows are sorted by range, and only counts per range come to the driver:
+    they tell which range holds the row, and its place in there is found by that
+    range's task. No task holds more than its own range, wherever n lies.
     """
-    return fact.orderBy(*FACT_SALES.names).offset(n).limit(1)
+    ranges = stored(
+        fact.orderBy(*FACT_SALES.names).withColumn("__id", F.monotonically_increasing_id())
+    )
+    # The id counts the rows of a task; the task's number is in the bits above.
+    task = F.shiftright("__id", 33)
+    sizes = ranges.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect()
+    for task_number, size in sizes:
+        if n < size:
+            row = ranges.where(F.col("__id") == (task_number << 33) + n)
+            return row.select(*FACT_SALES.names)
+        n -= size
+    return ranges.limit(0).select(*FACT_SALES.names)

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from starmart.functions import is_whole, line_key
 from starmart.operators.dims import customers_of, dates_of, employees_of, calendar, products_of
 from starmart.operators.fact import sales_of, staged_sales
 from starmart.schema import STAR_TABLES
@@ -34,7 +35,7 @@ def duplicate_lines(source: Source) -> DataFrame:
     repeated = source.spec.lines(source.raw).groupBy(*keys).agg(F.count("*").alias("Copies"))
     return repeated.where(F.col("Copies") > 1).select(
         F.lit(source.spec.system_id).alias("SourceSystemID"),
-        F.concat_ws("|", *[F.col(k).cast("string") for k in keys]).alias("LineKey"),
+        line_key(*keys).alias("LineKey"),
         "Copies",
     )
 
@@ -138,6 +139,7 @@ def measure_fault() -> Column:
         .when(F.col("SalesQuantity").isNull(), "quantity not a number")
         .when(F.col("RawPrice").isNull(), "price missing")
         .when(price.isNull() | F.col("SalesAmount").isNull(), "price not a number")
+        .when(~is_whole(units), "quantity not whole")
         .when(F.col("SalesQuantity") <= 0, "quantity not positive")
         .when(price < 0, "price negative")
     )

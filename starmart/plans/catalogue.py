@@ -8,12 +8,12 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
-from starmart.functions import canonical_key, person_name
+from starmart.functions import canonical_key, line_amount, person_name, quantity
 from starmart.operators import acceptance, bi, filters, hierarchy, narrate, profile, quality
 from starmart.plans.star import Star
 from starmart.sources import testdata
 from starmart.sources.raw import RawZone
-from starmart.sources.spec import union_all
+from starmart.sources.spec import Source, union_all
 from starmart.sources.testdata import EVENTS, INTAKE, ORDERS, SIGNUPS
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,10 +84,8 @@ def _person_name(raw: RawZone) -> DataFrame:
 # Reports
 
 
-def _filtered(star: Star) -> DataFrame:
-    return filters.filter_sales(
-        star.fact_sales, star.source_ids(["Orders", "Events"]), FILTER_FIRST, FILTER_LAST
-    )
+def _filtered(star: Star, *names: str) -> DataFrame:
+    return filters.filter_sales(star.fact_sales, star.source_ids(names), FILTER_FIRST, FILTER_LAST)
 
 
 def _period(granularity: str, split: bool = False) -> Query:
@@ -133,6 +131,25 @@ def _header_reconciliation(raw: RawZone) -> DataFrame:
 # Quality
 
 
+def _each_source(operator: Callable[[Source], DataFrame]) -> Query:
+    """An operator on one source, over all three systems of the test tables."""
+    return _on_star(lambda s: union_all(operator(x) for x in s.sources), ORDERS, EVENTS, INTAKE)
+
+
+def _line_measure(raw: RawZone) -> DataFrame:
+    """Price times a quantity with quarters, delivered as double, text and decimal."""
+    units = F.col("l_quantity") / 4
+    forms = {"FromDouble": "double", "FromText": "string", "FromDecimal": "decimal(17,6)"}
+    lines = raw.table("lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        F.col("l_extendedprice").alias("price"),
+        *[units.cast(form).alias(name) for name, form in forms.items()],
+    )
+    amounts = [line_amount(F.col("price"), F.col(name)).alias(name) for name in forms]
+    return lines.select("l_orderkey", "l_linenumber", *amounts, quantity(F.col("FromText")).alias("Units"))
+
+
 def _key_usage(star: Star) -> DataFrame:
     return quality.key_usage(*star.tables().values())
 
@@ -166,7 +183,7 @@ QUERIES: dict[str, Query] = {
     "attribute_coverage": _on_star(lambda s: quality.attribute_coverage(s.sources)),
     # reports
     "revenue_by_source": _on_star(lambda s: bi.revenue_by_source(s.fact_sales, s.dim_source_system)),
-    "filtered_revenue": _on_star(lambda s: bi.revenue_by_source(_filtered(s), s.dim_source_system)),
+    "filtered_revenue": _on_star(lambda s: bi.revenue_by_source(_filtered(s, "Orders"), s.dim_source_system)),
     "top_customers": _on_star(
         lambda s: bi.top_customers(s.fact_sales, s.dim_customer, s.dim_source_system)
     ),
@@ -202,7 +219,7 @@ QUERIES: dict[str, Query] = {
     "sales_by_period_source": _period("Month", split=True),
     "period_source_pivot": _on_star(
         lambda s: bi.period_source_pivot(
-            s.fact_sales, s.dim_time, s.dim_source_system, ["Events", "Orders"]
+            s.fact_sales, s.dim_time, s.dim_source_system, sorted(x.spec.name for x in s.sources)
         )
     ),
     "sales_by_year_month": _on_star(lambda s: bi.sales_by_year_month(s.fact_sales, s.dim_time)),
@@ -222,7 +239,7 @@ QUERIES: dict[str, Query] = {
     "sales_by_title": _on_star(lambda s: bi.sales_by_title(s.fact_sales, s.dim_employee)),
     "fact_narrative": _on_star(lambda s: _narrate(s, s.fact_sales)),
     "picked_row_narrative": _on_star(
-        lambda s: _narrate(s, narrate.nth_fact_row(_filtered(s), PICKED_ROW))
+        lambda s: _narrate(s, narrate.nth_fact_row(_filtered(s, "Orders", "Events"), PICKED_ROW))
     ),
     "top_parents_by_children": _on_raw(
         lambda raw: bi.top_parents_by_children(
@@ -246,22 +263,21 @@ QUERIES: dict[str, Query] = {
     ),
     "employee_manager": _on_star(lambda s: hierarchy.employee_manager(s.dim_employee)),
     "manager_rollup": _on_star(lambda s: hierarchy.manager_rollup(s.fact_sales, s.dim_employee)),
+    "line_measure": _on_raw(_line_measure),
     "header_reconciliation": _on_raw(_header_reconciliation),
     # quality
     "dq_key_nulls": _on_star(lambda s: quality.key_nulls(s.fact_sales), ORDERS, EVENTS, INTAKE),
-    "dq_duplicate_lines": _on_star(lambda s: quality.duplicate_lines(s.sources[0])),
+    "dq_duplicate_lines": _each_source(quality.duplicate_lines),
     "dq_orphans": _on_star(lambda s: quality.orphans(_key_usage(s)), ORDERS, EVENTS, INTAKE),
     "key_consistency": _on_star(
         lambda s: quality.key_consistency(_key_usage(s)), ORDERS, EVENTS, INTAKE
     ),
-    "dq_bad_dates": _on_star(lambda s: quality.bad_dates(s.sources[0]), INTAKE),
-    "dq_bad_measures": _on_star(lambda s: quality.bad_measures(s.sources[0]), INTAKE),
-    "quarantine": _on_star(
-        lambda s: quality.triage(s.sources[0]).select("LineKey", "Status", "Reason"), INTAKE
-    ),
-    "dq_violations": _on_star(
-        lambda s: union_all(quality.violations(source) for source in s.sources), ORDERS, INTAKE
+    "dq_bad_dates": _each_source(quality.bad_dates),
+    "dq_bad_measures": _each_source(quality.bad_measures),
+    "quarantine": _each_source(
+        lambda source: quality.triage(source).select("SourceSystemID", "LineKey", "Status", "Reason")
     ),
+    "dq_violations": _each_source(quality.violations),
     "third_source": _third_source,
     "source_volume": _on_star(lambda s: quality.source_volume(s.sources), ORDERS, EVENTS, INTAKE),
     # profile

@@ -138,9 +138,39 @@ MEASURE_FAULT = """CASE WHEN RawQuantity IS NULL THEN 'quantity missing'
          WHEN SalesQuantity IS NULL THEN 'quantity not a number'
          WHEN RawPrice IS NULL THEN 'price missing'
          WHEN Price IS NULL THEN 'price not a number'
+         WHEN TRY_CAST(RawQuantity AS DECIMAL(38,10)) <> floor(TRY_CAST(RawQuantity AS DECIMAL(38,10))) THEN 'quantity not whole'
          WHEN SalesQuantity <= 0 THEN 'quantity not positive'
          WHEN Price < 0 THEN 'price negative' END"""
 
+# The joined lines of all three systems, as delivered.
+STAGED = INTAKE.rsplit(",\nintake_fact", 1)[0] + """,
+staged AS (
+  SELECT SourceSystemID, LineKey, RawDate, DateKey IS NULL AS Undated, RawQuantity, RawPrice, SalesQuantity, Price FROM intake
+  UNION ALL
+  SELECT 1, CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR), CAST(o_orderdate AS VARCHAR),
+    o_orderdate IS NULL, CAST(l_quantity AS VARCHAR), CAST(l_extendedprice AS VARCHAR),
+    CAST(floor(l_quantity) AS BIGINT), CAST(l_extendedprice AS DECIMAL(18,2))
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+  UNION ALL
+  SELECT 2, CAST(event_id AS VARCHAR), CAST(ts AS VARCHAR), ts IS NULL, '1', CAST(value AS VARCHAR), 1,
+    CAST(value AS DECIMAL(18,2))
+  FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase')"""
+
+DUPLICATES = """SELECT 1 AS SourceSystemID,
+      CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS LineKey, count(*) AS Copies
+      FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
+    UNION ALL SELECT 2, CAST(event_id AS VARCHAR), count(*) FROM events
+      WHERE event_type = 'purchase' GROUP BY event_id HAVING count(*) > 1
+    UNION ALL SELECT 4, CAST(event_id AS VARCHAR), count(*) FROM events GROUP BY event_id HAVING count(*) > 1"""
+
+BAD_DATES = """SELECT SourceSystemID, LineKey, RawDate,
+      CASE WHEN coalesce(trim(RawDate), '') = '' THEN 'date missing' ELSE 'date not readable' END AS Reason
+      FROM staged WHERE Undated"""
+
+BAD_MEASURES = f"""SELECT SourceSystemID, LineKey, RawQuantity, RawPrice, Reason,
+      SalesQuantity IS NOT NULL AND Price IS NOT NULL AS Loaded
+      FROM (SELECT *, {MEASURE_FAULT} AS Reason FROM staged) i WHERE Reason IS NOT NULL"""
+
 KEY_USAGE = f"""{FACT}, {INTAKE}, {DIM_TIME}, {DIM_EMPLOYEE},
 staff AS (SELECT EmployeeID, ReportsTo FROM dim_employee
           UNION ALL SELECT 'INTAKE' || substr(EmployeeID, 7), 'INTAKE' || substr(ReportsTo, 7)
@@ -440,7 +470,8 @@ ORACLE: dict[str, str] = {
     "revenue_by_source": _with(FACT, SOURCES)
     + f"SELECT SourceSystemName, {SUMS} FROM fact JOIN sources USING (SourceSystemID) GROUP BY 1",
     "filtered_revenue": _with(FACT, SOURCES)
-    + f"SELECT SourceSystemName, {SUMS} FROM ({_FILTERED}) f JOIN sources USING (SourceSystemID) GROUP BY 1",
+    + f"""SELECT SourceSystemName, {SUMS} FROM ({_FILTERED}) f JOIN sources USING (SourceSystemID)
+      WHERE SourceSystemName = 'Orders' GROUP BY 1""",
     "top_customers": _top_customers(False),
     "top_customers_split": _top_customers(True),
     "top_customers_per_source": _with(FACT, DIM_CUSTOMER, SOURCES)
@@ -545,9 +576,7 @@ ORACLE: dict[str, str] = {
       UNION ALL SELECT SourceSystemID, n, 'CustomerID', n - c FROM g
       UNION ALL SELECT SourceSystemID, n, 'EmployeeID', n - e FROM g
       UNION ALL SELECT SourceSystemID, n, 'ProductID', n - p FROM g""",
-    "dq_duplicate_lines": """SELECT 1 AS SourceSystemID,
-      CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS LineKey, count(*) AS Copies
-      FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
+    "dq_duplicate_lines": _with(STAGED) + DUPLICATES,
     "dq_orphans": _with(KEY_USAGE)
     + """SELECT ForeignKey, KeyValue, UsingRows FROM uses
       WHERE (ForeignKey, KeyValue) NOT IN (SELECT (ForeignKey, KeyValue) FROM definitions)""",
@@ -559,29 +588,22 @@ ORACLE: dict[str, str] = {
       count(*) FILTER (WHERE DefiningRows > 1) AS RepeatedMembers,
       CAST(coalesce(sum(UsingRows), 0) AS BIGINT) AS UsingRows
       FROM uses FULL JOIN definitions USING (ForeignKey, KeyValue) GROUP BY 1, 2""",
-    "dq_bad_dates": _with(INTAKE.rsplit(",\nintake_fact", 1)[0])
-    + """SELECT SourceSystemID, LineKey, RawDate,
-      CASE WHEN coalesce(trim(RawDate), '') = '' THEN 'date missing' ELSE 'date not readable' END AS Reason
-      FROM intake WHERE DateKey IS NULL""",
-    "dq_bad_measures": _with(INTAKE.rsplit(",\nintake_fact", 1)[0])
-    + f"""SELECT SourceSystemID, LineKey, RawQuantity, RawPrice, Reason,
-      SalesQuantity IS NOT NULL AND Price IS NOT NULL AS Loaded
-      FROM (SELECT *, {MEASURE_FAULT} AS Reason FROM intake) i WHERE Reason IS NOT NULL""",
-    "quarantine": _with(INTAKE.rsplit(",\nintake_fact", 1)[0])
-    + f"""SELECT LineKey, CASE WHEN ok THEN 'loaded' ELSE 'rejected' END AS Status,
+    "dq_bad_dates": _with(STAGED) + BAD_DATES,
+    "dq_bad_measures": _with(STAGED) + BAD_MEASURES,
+    "quarantine": _with(STAGED)
+    + f"""SELECT SourceSystemID, LineKey, CASE WHEN ok THEN 'loaded' ELSE 'rejected' END AS Status,
       CASE WHEN NOT ok THEN Reason END AS Reason
       FROM (SELECT *, {MEASURE_FAULT} AS Reason, SalesQuantity IS NOT NULL AND Price IS NOT NULL AS ok
-            FROM intake) i""",
-    "dq_violations": _with(INTAKE.rsplit(",\nintake_fact", 1)[0])
-    + f"""SELECT 'duplicate line' AS Rule, 1 AS SourceSystemID,
-        CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS LineKey,
-        CAST(count(*) AS VARCHAR) || ' copies' AS Reason
-      FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1
-      UNION ALL SELECT 'date', 4, LineKey,
-        CASE WHEN coalesce(trim(RawDate), '') = '' THEN 'date missing' ELSE 'date not readable' END
-      FROM intake WHERE DateKey IS NULL
-      UNION ALL SELECT 'measure', 4, LineKey, Reason
-      FROM (SELECT *, {MEASURE_FAULT} AS Reason FROM intake) i WHERE Reason IS NOT NULL""",
+            FROM staged) i""",
+    "dq_violations": _with(STAGED)
+    + f"""SELECT 'duplicate line' AS Rule, SourceSystemID, LineKey, CAST(Copies AS VARCHAR) || ' copies' AS Reason
+        FROM ({DUPLICATES}) d
+      UNION ALL SELECT 'date', SourceSystemID, LineKey, Reason FROM ({BAD_DATES}) b
+      UNION ALL SELECT 'measure', SourceSystemID, LineKey, Reason FROM ({BAD_MEASURES}) m""",
+    "line_measure": """SELECT l_orderkey, l_linenumber, a AS FromDouble, a AS FromText, a AS FromDecimal,
+      CAST(floor(l_quantity / 4) AS BIGINT) AS Units
+      FROM (SELECT *, CAST(CAST(CAST(l_extendedprice AS DECIMAL(20,6)) * CAST(l_quantity / 4 AS DECIMAL(17,6))
+              AS DECIMAL(18,2)) AS DOUBLE) AS a FROM lineitem) m""",
     "third_source": _with(FACT, FACT3)
     + """, b AS (SELECT SourceSystemID, count(*) AS n, sum(SalesAmount) AS a FROM fact GROUP BY 1),
       c AS (SELECT SourceSystemID, count(*) AS n, sum(SalesAmount) AS a FROM fact3 GROUP BY 1)

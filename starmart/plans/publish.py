@@ -129,13 +129,13 @@ class PublishedStar(Star):
 
 
 def retain_raw(source: Source, path: str, load: str) -> None:
-    """Keep a source's tables as delivered, all columns, under the given load.
+    """Keep a source's tables as delivered, all columns of the files, under the given load.
 
     Loads are kept side by side, so a mapping can be checked or run again.
     """
     for table in source.spec.tables:
         target = f"{path}/{source.spec.name}/{table}/load={load}"
-        source.raw.table(table).write.mode("overwrite").parquet(target)
+        source.raw.delivered(table).write.mode("overwrite").parquet(target)
 
 
 def retain_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:

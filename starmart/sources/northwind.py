@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from starmart.functions import person_name, with_date_key
+from starmart.functions import line_key, person_name, with_date_key
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import ForeignKey, Mapped, SourceSpec
 
@@ -82,7 +82,7 @@ def _sales(raw: RawZone) -> Mapped:
     return Mapped(
         line.join(order, F.col("l.OrderID") == F.col("h.OrderID")),
         {
-            "LineKey": F.concat_ws("|", F.col("l.OrderID"), F.col("l.ProductID")),
+            "LineKey": line_key("l.OrderID", "l.ProductID"),
             "OrderDate": F.col("h.OrderDate"),
             "DateKey": F.col("h.DateKey"),
             "CustomerID": F.col("h.CustomerID"),

@@ -23,6 +23,8 @@ class RawZone:
     """Named raw tables. ``read`` turns a table name into a lazy DataFrame."""
 
     read: Callable[[str], DataFrame]
+    #: Reads a table with every column it was delivered with, where ``read`` may leave some out.
+    read_whole: Callable[[str], DataFrame] | None = None
     _opened: dict[str, DataFrame] = field(default_factory=dict, repr=False, compare=False)
 
     def table(self, name: str) -> DataFrame:
@@ -31,9 +33,16 @@ class RawZone:
             self._opened[name] = self.read(name)
         return self._opened[name]
 
+    def delivered(self, name: str) -> DataFrame:
+        """The table with the columns and types of its files, whatever was declared."""
+        return self.table(name) if self.read_whole is None else self.read_whole(name)
+
     def replacing(self, **tables: DataFrame) -> RawZone:
         """The same zone with some tables replaced."""
-        return RawZone(lambda name: tables[name] if name in tables else self.table(name))
+        return RawZone(
+            lambda name: tables[name] if name in tables else self.table(name),
+            lambda name: tables[name] if name in tables else self.delivered(name),
+        )
 
     @classmethod
     def parquet(
@@ -45,13 +54,16 @@ class RawZone:
     ) -> RawZone:
         """Files named after their table. Declared schemas spare a look into the files."""
 
+        def path(name: str) -> str:
+            return f"{root.rstrip('/')}/{name}{suffix}"
+
         def read(name: str) -> DataFrame:
             reader = spark.read
             if schemas and name in schemas:
                 reader = reader.schema(schemas[name])
-            return reader.parquet(f"{root.rstrip('/')}/{name}{suffix}")
+            return reader.parquet(path(name))
 
-        return cls(read)
+        return cls(read, lambda name: spark.read.parquet(path(name)))
 
     @classmethod
     def frames(cls, tables: Mapping[str, DataFrame]) -> RawZone:

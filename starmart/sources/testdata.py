@@ -18,7 +18,7 @@ from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from starmart.functions import with_date_key
+from starmart.functions import line_key, with_date_key
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import ForeignKey, Mapped, Source, SourceSpec, union_all
 
@@ -111,7 +111,7 @@ def _order_sales(raw: RawZone) -> Mapped:
     return Mapped(
         line.join(header, line["l_orderkey"] == header["o_orderkey"]),
         {
-            "LineKey": F.concat_ws("|", F.col("l_orderkey"), F.col("l_linenumber")),
+            "LineKey": line_key("l_orderkey", "l_linenumber"),
             "OrderDate": F.col("o_orderdate"),
             "DateKey": F.col("DateKey"),
             "CustomerID": F.col("o_custkey"),

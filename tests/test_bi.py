@@ -177,17 +177,21 @@ def test_acceptance_names_every_mismatch_and_counts_a_missing_source_as_zero(sta
     wrong = {"Chinook": 5.97, "Northwind": 2787.0, "Third": 1.0}
     with pytest.raises(AssertionError) as error:
         acceptance.assert_documented_totals(star.fact_sales, star.dim_source_system, wrong)
-    assert "Chinook: expected 5.97, got 5.95 (diff -0.02)" in str(error.value)
-    assert "Third: expected 1.00, got 0.00" in str(error.value)
+    assert "Chinook is 5.95 instead of 5.97" in str(error.value)
+    assert "Third is 0.00 instead of 1.00" in str(error.value)
     assert "Northwind" not in str(error.value)
 
 
-def test_default_filter():
-    names, bounds = ["A", "B"], (date(2010, 1, 1), date(2020, 1, 1))
-    assert acceptance.is_default_filter({"B", "A"}, names, bounds, bounds)
-    assert acceptance.is_default_filter(["A", "B"], names, None, bounds)
-    assert not acceptance.is_default_filter(["A"], names, bounds, bounds)
-    assert not acceptance.is_default_filter(names, names, (bounds[0], date(2019, 1, 1)), bounds)
+def test_totals_are_checked_for_whole_selections_only(star):
+    documented = star.fact_sales.sparkSession.createDataFrame([("Chinook", "5.95")], "Label string, Documented string")
+
+    def checked(**selection):
+        picked = filters.Selection(**selection)
+        return acceptance.check_totals(star.fact_sales, star.dim_source_system, documented, selection=picked).count()
+
+    assert checked() == checked(sources=["Northwind", "Chinook"]) == 1
+    assert checked(first=date(1990, 1, 1), last=date(2090, 1, 1)) == 1
+    assert checked(sources=["Chinook"]) == checked(first=date(2020, 1, 1)) == checked(last=date(2012, 1, 1)) == 0
 
 
 def test_filters(star):

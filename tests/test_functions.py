@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from starmart.functions.dates import key_of
-from starmart.functions import canonical_key, date_key, line_amount, parse_date, person_name, strip
+from starmart.functions import canonical_key, date_key, is_whole, line_amount, line_key, parse_date, person_name, quantity, strip
 
 
 def values(spark, rows, ddl, *columns):
@@ -57,6 +57,8 @@ def test_person_name(spark, first, last, name):
         ("2023-02-29", None),
         ("2016-07-04 25:00:00", None),
         ("2016-07-04 junk", None),
+        ("0000-01-01", None),
+        ("0001-01-01", date(1, 1, 1)),
         ("2016", None),
         ("2016-07", None),
         ("07/04/2016", None),
@@ -118,6 +120,27 @@ def test_line_amount_is_exact_and_never_fails(spark):
     assert made == [Decimal("0.30"), Decimal("168.00"), None, None, None, None]
 
 
+@pytest.mark.parametrize("form", ["double", "string", "decimal(12,4)"])
+def test_only_the_product_is_rounded(spark, form):
+    rows = [(9.95, 2.5), (0.995, 10.0), (14.0, 12.0), (1e14, 3.0), (1e12, 0.5)]
+    df = spark.createDataFrame(rows, "p double, q double").select("p", F.col("q").cast(form).alias("q"))
+    made = df.select(line_amount(F.col("p"), F.col("q")), quantity(F.col("q")), is_whole(F.col("q"))).collect()
+    assert [r[0] for r in made][:4] == [Decimal(x) for x in ("24.88", "9.95", "168.00", "300000000000000.00")]
+    assert made[4][0] == Decimal("500000000000.00")
+    assert [r[1] for r in made] == [2, 10, 12, 3, 0]
+    assert [r[2] for r in made] == [False, True, True, True, False]
+
+
+def test_quantities_of_text(spark):
+    made = values(spark, [("10.0",), ("2.5",), ("two",), (None,)], "q string", quantity(F.col("q")))
+    assert made == [10, 2, None, None]
+
+
+def test_line_keys_keep_the_place_of_null(spark):
+    made = values(spark, [(1, None), (None, 1), (1, 1)], "a int, b int", line_key("a", "b"))
+    assert made == ["1|", "|1", "1|1"]
+
+
 def test_line_amount_of_floats_is_a_decimal(spark):
     made = values(spark, [(0.1, 3.0)], "p double, q double", line_amount(F.col("p"), F.col("q")))
     assert made == [Decimal("0.30")]

@@ -3,9 +3,11 @@ from datetime import date
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 from starmart import RawZone, Source, Star
 from starmart.operators import bi
+from starmart.sources import northwind
 from starmart.plans.publish import (
     PublishedStar,
     log_violations,
@@ -126,6 +128,18 @@ def test_raw_zone_keeps_every_column_of_every_load(spark, food, tmp_path):
     assert stored.groupBy("load").count().count() == 2 and stored.where("Discount > 0").count() == 4
 
 
+def test_undeclared_columns_are_kept(spark, food, tmp_path):
+    for name in food.spec.tables:
+        food.raw.table(name).write.parquet(f"{tmp_path}/in/{name}.parquet")
+    orders = food.raw.table("Orders").withColumn("Freight", F.lit(1.5))
+    orders.write.mode("overwrite").parquet(f"{tmp_path}/in/Orders.parquet")
+    declared = RawZone.parquet(spark, f"{tmp_path}/in", schemas=northwind.RAW_SCHEMAS)
+    assert "Freight" not in declared.table("Orders").columns
+    retain_raw(Source(food.spec, declared), f"{tmp_path}/out", "a")
+    kept = spark.read.parquet(f"{tmp_path}/out/Northwind/Orders/load=a")
+    assert "Freight" in kept.columns and kept.where("Freight = 1.5").count() == orders.count()
+
+
 def test_raw_zone_can_be_read_back(spark, food, tmp_path):
     retain_raw(food, str(tmp_path), "a")
     again = Source(food.spec, RawZone.parquet(spark, f"{tmp_path}/Northwind", suffix="/load=a"))

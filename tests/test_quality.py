@@ -235,7 +235,21 @@ def test_manager_rollup_of_a_flat_staff(spark, star):
     assert {r.PeopleBelow for r in made.collect()} == {0}
 
 
-def test_manager_rollup_refuses_a_cycle(spark, star, monkeypatch):
-    monkeypatch.setattr(hierarchy, "MAX_LEVELS", 4)
-    with pytest.raises(ValueError, match="cyclic"):
-        hierarchy.manager_rollup(star.fact_sales, staff(spark, [(1, 2), (2, 1)]))
+def test_manager_rollup_refuses_a_cycle_and_who_is_below_it(spark, star):
+    managers = [(1, 2), (2, 3), (3, 1), (4, 3), (5, None)]
+    with pytest.raises(ValueError, match="cyclic.*S:1, S:2, S:3, S:4$"):
+        hierarchy.manager_rollup(star.fact_sales, staff(spark, managers))
+
+
+@pytest.mark.parametrize("levels", [101, 1000])
+def test_manager_rollup_of_a_long_chain(spark, star, levels):
+    chain = staff(spark, [(k, k - 1 if k else None) for k in range(levels)])
+    made = hierarchy.manager_rollup(star.fact_sales, chain).collect()
+    assert {r.EmployeeID: r.PeopleBelow for r in made} == {f"S:{k}": levels - 1 - k for k in range(levels)}
+
+
+def test_a_self_report_heads_a_team_and_is_a_finding(spark, star):
+    people = staff(spark, [(1, 1), (2, 1), (3, 99)])
+    made = hierarchy.manager_rollup(star.fact_sales, people).collect()
+    assert {r.EmployeeID: r.PeopleBelow for r in made} == {"S:1": 1, "S:2": 0, "S:3": 0}
+    assert [r.EmployeeID for r in hierarchy.self_reports(people).collect()] == ["S:1"]
