@@ -17,14 +17,14 @@ def system_tables(names: Sequence[str], prefix: str = SYSTEM_TABLE_PREFIX) -> li
 
 
 def table_inventory(sources: Sequence[Source], system_prefix: str = SYSTEM_TABLE_PREFIX) -> DataFrame:
-    """Records and columns of every business table; tables of the storage system are not read."""
+    """Records and columns of every business table as delivered; those of the storage system are not read."""
     tables = []
     for source in sources:
         left_out = system_tables(source.spec.tables, system_prefix)
         for name in source.spec.tables:
             if name in left_out:
                 continue
-            df = source.raw.table(name)
+            df = source.raw.delivered(name)
             tables.append(
                 df.agg(F.count("*").alias("RecordCount")).select(
                     F.lit(source.spec.name).alias("SourceSystem"),
@@ -75,12 +75,12 @@ def profile_table(name: str, df: DataFrame, primary_key: Sequence[str] = ()) ->
 
 
 def profile_columns(sources: Sequence[Source]) -> DataFrame:
-    """The column inventory of every source, with what its data holds."""
+    """The column inventory of every source as delivered, with what its data holds."""
     profiles = []
     for source in sources:
         for name in source.spec.tables:
             keys = source.spec.primary_keys.get(name, ())
-            profile = profile_table(name, source.raw.table(name), keys)
+            profile = profile_table(name, source.raw.delivered(name), keys)
             profiles.append(profile.withColumn("SourceSystem", F.lit(source.spec.name)))
     return union_all(profiles)
 

@@ -317,7 +317,7 @@ def attribute_coverage(sources: Sequence[Source]) -> DataFrame:
     return union_all(reports)
 
 
-def _fingerprint(fact: DataFrame, suffix: str) -> DataFrame:
+def fingerprint(fact: DataFrame, suffix: str = "Before") -> DataFrame:
     """Rows, amount and an order-independent checksum of the rows of each source."""
     row = F.xxhash64(*STAR_TABLES["FactSales"].names).cast("decimal(20,0)")
     return fact.groupBy("SourceSystemID").agg(
@@ -330,9 +330,11 @@ def _fingerprint(fact: DataFrame, suffix: str) -> DataFrame:
 def history_check(before: DataFrame, after: DataFrame, dim_source_system: DataFrame) -> DataFrame:
     """Facts per source before and after a change, e.g. a new source: known sources must not move.
 
+    ``before`` is the ``fingerprint`` of the fact, stored before the change.
+
     ``HistoryUnchanged`` is NULL for a source that was not there before.
     """
-    joined = _fingerprint(after, "After").join(_fingerprint(before, "Before"), "SourceSystemID", "left")
+    joined = fingerprint(after, "After").join(before, "SourceSystemID", "left")
     named = joined.join(F.broadcast(dim_source_system), "SourceSystemID", "left")
     same = (F.col("RowsBefore") == F.col("RowsAfter")) & (
         F.col("ChecksumBefore") == F.col("ChecksumAfter")

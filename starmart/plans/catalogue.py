@@ -10,7 +10,9 @@ from pyspark.sql.types import DateType, DecimalType
 
 from starmart.functions import canonical_key, line_amount, person_name, quantity
 from starmart.operators import acceptance, bi, filters, hierarchy, narrate, profile, quality
+from starmart.plans.publish import PublishedStar, publish
 from starmart.plans.star import Star
+from starmart.scratch import new_folder, stored
 from starmart.sources import testdata
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import Source, union_all
@@ -155,10 +157,13 @@ def _key_usage(star: Star) -> DataFrame:
 
 
 def _third_source(spark: SparkSession, root: str) -> DataFrame:
-    before, after = _star(spark, root), _star(spark, root, ORDERS, EVENTS, SIGNUPS)
-    return presented(
-        quality.history_check(before.fact_sales, after.fact_sales, after.dim_source_system)
-    )
+    """Two systems are published, a third is added, and what is stored is compared."""
+    path = new_folder(spark)
+    publish(_star(spark, root), path)
+    before = stored(quality.fingerprint(PublishedStar(spark, path).fact_sales))
+    publish(_star(spark, root, SIGNUPS), path)
+    after = PublishedStar(spark, path)
+    return presented(quality.history_check(before, after.fact_sales, after.dim_source_system))
 
 
 def _pk_uniqueness(star: Star) -> DataFrame:

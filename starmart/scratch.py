@@ -22,6 +22,11 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def new_folder(spark: SparkSession) -> str:
+    """The path of a folder that nobody has used yet."""
+    return f"{shared_folder(spark)}/{_OWN}/{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """The rows written as Parquet to the shared folder and read back.
 
@@ -29,7 +34,7 @@ def stored(df: DataFrame) -> DataFrame:
     what was written once is the same for every later reader.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{_OWN}/{uuid.uuid4().hex}"
+    path = new_folder(spark)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

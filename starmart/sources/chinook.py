@@ -8,7 +8,8 @@ from starmart.functions import person_name, with_date_key
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import ForeignKey, Mapped, SourceSpec
 
-# Raw schemas: the columns the mapping reads, with the source's types.
+# Raw schemas: the columns the mapping reads, with the source's types, and the keys of
+# the other tables.
 RAW_SCHEMAS = {
     "Artist": "ArtistId bigint, Name string",
     "Album": "AlbumId bigint, Title string, ArtistId bigint",
@@ -20,7 +21,11 @@ RAW_SCHEMAS = {
     "Invoice": "InvoiceId bigint, CustomerId bigint, InvoiceDate string, Total decimal(10,2)",
     "InvoiceLine": "InvoiceLineId bigint, InvoiceId bigint, TrackId bigint, UnitPrice decimal(10,2), "
     "Quantity bigint",
-    "Track": "TrackId bigint, Name string, GenreId bigint, Composer string, UnitPrice decimal(10,2)",
+    "Track": "TrackId bigint, Name string, GenreId bigint, Composer string, UnitPrice decimal(10,2), "
+    "AlbumId bigint, MediaTypeId bigint",
+    "MediaType": "MediaTypeId bigint, Name string",
+    "Playlist": "PlaylistId bigint, Name string",
+    "PlaylistTrack": "PlaylistId bigint, TrackId bigint",
 }
 
 
@@ -124,6 +129,9 @@ CHINOOK = SourceSpec(
         "Invoice": ("InvoiceId",),
         "InvoiceLine": ("InvoiceLineId",),
         "Track": ("TrackId",),
+        "MediaType": ("MediaTypeId",),
+        "Playlist": ("PlaylistId",),
+        "PlaylistTrack": ("PlaylistId", "TrackId"),
     },
     foreign_keys=(
         ForeignKey("Album", ("ArtistId",), "Artist", ("ArtistId",)),
@@ -132,6 +140,10 @@ CHINOOK = SourceSpec(
         ForeignKey("Invoice", ("CustomerId",), "Customer", ("CustomerId",)),
         ForeignKey("InvoiceLine", ("InvoiceId",), "Invoice", ("InvoiceId",)),
         ForeignKey("InvoiceLine", ("TrackId",), "Track", ("TrackId",)),
+        ForeignKey("Track", ("AlbumId",), "Album", ("AlbumId",)),
         ForeignKey("Track", ("GenreId",), "Genre", ("GenreId",)),
+        ForeignKey("Track", ("MediaTypeId",), "MediaType", ("MediaTypeId",)),
+        ForeignKey("PlaylistTrack", ("PlaylistId",), "Playlist", ("PlaylistId",)),
+        ForeignKey("PlaylistTrack", ("TrackId",), "Track", ("TrackId",)),
     ),
 )

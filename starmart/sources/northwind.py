@@ -8,8 +8,8 @@ from starmart.functions import line_key, person_name, with_date_key
 from starmart.sources.raw import RawZone
 from starmart.sources.spec import ForeignKey, Mapped, SourceSpec
 
-# Raw schemas: the columns the mapping reads, with the source's types. Discount
-# is kept in the raw zone and read by no mapping.
+# Raw schemas: the columns the mapping reads, with the source's types, and the keys of
+# the other tables. Discount is kept in the raw zone and read by no mapping.
 RAW_SCHEMAS = {
     "Categories": "CategoryID bigint, CategoryName string",
     "Customers": "CustomerID string, CompanyName string, ContactName string, City string, "
@@ -18,8 +18,18 @@ RAW_SCHEMAS = {
     "Country string, ReportsTo bigint",
     "Order Details": "OrderID bigint, ProductID bigint, UnitPrice decimal(18,2), Quantity bigint, "
     "Discount double",
-    "Orders": "OrderID bigint, CustomerID string, EmployeeID bigint, OrderDate string",
-    "Products": "ProductID bigint, ProductName string, CategoryID bigint, UnitPrice decimal(18,2)",
+    "Orders": "OrderID bigint, CustomerID string, EmployeeID bigint, OrderDate string, ShipVia bigint",
+    "Products": "ProductID bigint, ProductName string, CategoryID bigint, UnitPrice decimal(18,2), "
+    "SupplierID bigint",
+    "CustomerCustomerDemo": "CustomerID string, CustomerTypeID string",
+    "CustomerDemographics": "CustomerTypeID string, CustomerDesc string",
+    "EmployeeTerritories": "EmployeeID bigint, TerritoryID string",
+    "Regions": "RegionID bigint, RegionDescription string",
+    "Shippers": "ShipperID bigint, CompanyName string, Phone string",
+    "Suppliers": "SupplierID bigint, CompanyName string, ContactName string, ContactTitle string, "
+    "Address string, City string, Region string, PostalCode string, Country string, Phone string, "
+    "Fax string, HomePage string",
+    "Territories": "TerritoryID string, TerritoryDescription string, RegionID bigint",
 }
 
 
@@ -113,6 +123,13 @@ NORTHWIND = SourceSpec(
         "Order Details": ("OrderID", "ProductID"),
         "Orders": ("OrderID",),
         "Products": ("ProductID",),
+        "CustomerCustomerDemo": ("CustomerID", "CustomerTypeID"),
+        "CustomerDemographics": ("CustomerTypeID",),
+        "EmployeeTerritories": ("EmployeeID", "TerritoryID"),
+        "Regions": ("RegionID",),
+        "Shippers": ("ShipperID",),
+        "Suppliers": ("SupplierID",),
+        "Territories": ("TerritoryID",),
     },
     foreign_keys=(
         ForeignKey("Employees", ("ReportsTo",), "Employees", ("EmployeeID",)),
@@ -120,6 +137,13 @@ NORTHWIND = SourceSpec(
         ForeignKey("Order Details", ("ProductID",), "Products", ("ProductID",)),
         ForeignKey("Orders", ("CustomerID",), "Customers", ("CustomerID",)),
         ForeignKey("Orders", ("EmployeeID",), "Employees", ("EmployeeID",)),
+        ForeignKey("Orders", ("ShipVia",), "Shippers", ("ShipperID",)),
         ForeignKey("Products", ("CategoryID",), "Categories", ("CategoryID",)),
+        ForeignKey("Products", ("SupplierID",), "Suppliers", ("SupplierID",)),
+        ForeignKey("CustomerCustomerDemo", ("CustomerID",), "Customers", ("CustomerID",)),
+        ForeignKey("CustomerCustomerDemo", ("CustomerTypeID",), "CustomerDemographics", ("CustomerTypeID",)),
+        ForeignKey("EmployeeTerritories", ("EmployeeID",), "Employees", ("EmployeeID",)),
+        ForeignKey("EmployeeTerritories", ("TerritoryID",), "Territories", ("TerritoryID",)),
+        ForeignKey("Territories", ("RegionID",), "Regions", ("RegionID",)),
     ),
 )

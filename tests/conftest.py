@@ -4,6 +4,7 @@ import sys
 from pathlib import Path
 
 import pytest
+from pyspark.sql.types import StructType
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -30,7 +31,12 @@ def spark(tmp_path_factory):
 
 
 def make_zone(spark, tables, schemas):
-    frames = {name: spark.createDataFrame(tables.get(name, []), ddl) for name, ddl in schemas.items()}
+    """Raw tables; columns at the end of a schema that the rows do not have are NULL."""
+    frames = {}
+    for name, ddl in schemas.items():
+        schema = StructType.fromDDL(ddl)
+        rows = [(*row, *[None] * (len(schema) - len(row))) for row in tables.get(name, [])]
+        frames[name] = spark.createDataFrame(rows, schema)
     return RawZone.frames(frames)
 
 

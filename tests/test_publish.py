@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart import RawZone, Source, Star
-from starmart.operators import bi
+from starmart.operators import bi, quality
+from starmart.scratch import stored
 from starmart.sources import northwind
 from starmart.plans.publish import (
     PublishedStar,
@@ -155,3 +156,19 @@ def test_bucketed_lines_and_headers_join_without_a_shuffle(spark, food, no_broad
     bucketed = Star(spark, [Source(food.spec, raw)]).fact_sales
     assert "SortMergeJoin" in plan(bucketed) and "Exchange" not in plan(bucketed)
     assert rows(bucketed) == rows(Star(spark, [food]).fact_sales)
+
+
+def test_a_change_to_published_history_shows(spark, star, music, food, tmp_path):
+    publish(Star(spark, [food]), str(tmp_path))
+    before = stored(quality.fingerprint(PublishedStar(spark, str(tmp_path)).fact_sales))
+    publish_source(spark, music, str(tmp_path))
+
+    def unchanged():
+        now = PublishedStar(spark, str(tmp_path))
+        made = quality.history_check(before, now.fact_sales, now.dim_source_system)
+        return {r.SourceSystemName: r.HistoryUnchanged for r in made.collect()}
+
+    assert unchanged() == {"Northwind": True, "Chinook": None}
+    lines = food.raw.table("Order Details").withColumn("UnitPrice", (F.col("UnitPrice") + 1).cast("decimal(18,2)"))
+    publish_source(spark, Source(food.spec, food.raw.replacing(**{"Order Details": lines})), str(tmp_path))
+    assert unchanged()["Northwind"] is False
