@@ -31,24 +31,28 @@ THRESHOLD = 0.75
 #: Items held by a task at once; larger benchmarks are worked off in parts of about this many.
 PART = 20_000
 SLICE = 256
+#: Places of a document whose windows are worked off at once, and (window, item) pairs held at once.
+SPAN, PAIRS = 1 << 14, 1 << 20
 _BLOCKS = BITS // 8
 _ONES = np.array([bin(x).count("1") for x in range(256)], dtype=np.uint8)
 #: Whether two values of a block are near enough.
 _NEAR = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= RADIUS // _BLOCKS
 
 
-def _signs(shingles: np.ndarray) -> np.ndarray:
-    """+1 or -1 for each of BITS bits of each shingle."""
-    both = np.stack([words.mix(shingles), words.mix(shingles ^ np.uint64(0x5851F42D4C957F2D))], axis=1)
-    bits = np.unpackbits(both.view(np.uint8).reshape(len(shingles), BITS // 8), axis=1)
-    return 2 * bits.astype(np.int32) - 1
-
-
 def fingerprints(shingles: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
-    """SimHash, as BITS / 8 bytes, of the windows of ``width`` shingles from some places on."""
-    sums = np.zeros((len(shingles) + 1, BITS), dtype=np.int32)
-    np.cumsum(_signs(shingles), axis=0, out=sums[1:])
-    return np.packbits(sums[starts + width] - sums[starts] > 0, axis=1)
+    """SimHash, as BITS / 8 bytes, of the windows of ``width`` shingles from some places on.
+
+    Eight bits at a time, so that a long window takes 40 bytes per shingle.
+    """
+    both = np.stack([words.mix(shingles), words.mix(shingles ^ np.uint64(0x5851F42D4C957F2D))], axis=1)
+    hashed = both.view(np.uint8).reshape(len(shingles), _BLOCKS)
+    out = np.empty((len(starts), _BLOCKS), dtype=np.uint8)
+    ones = np.zeros((len(shingles) + 1, 8), dtype=np.int32)
+    for b in range(_BLOCKS):
+        np.cumsum(np.unpackbits(hashed[:, b : b + 1], axis=1), axis=0, out=ones[1:])
+        # A bit is set if more than half of the shingles have it.
+        out[:, b] = np.packbits(2 * (ones[starts + width] - ones[starts]) > width, axis=1)[:, 0]
+    return out
 
 
 @dataclass
@@ -67,14 +71,18 @@ class Length:
         every = np.stack(self.prints)
         self.near = np.stack([_NEAR[:, every[:, b]] for b in range(_BLOCKS)])
 
-    def candidates(self, prints: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(window, item) within RADIUS bits."""
-        some = self.near[0][prints[:, 0]].copy()
-        for b in range(1, _BLOCKS):
-            some |= self.near[b][prints[:, b]]
-        window, item = np.nonzero(some)
-        distance = _ONES[prints[window] ^ np.stack(self.prints)[item]].sum(axis=1)
-        return window[distance <= RADIUS], item[distance <= RADIUS]
+    def candidates(self, prints: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(window, item) within RADIUS bits, by window."""
+        own = np.stack(self.prints)
+        step = max(1, PAIRS // len(own))
+        for first in range(0, len(prints), step):
+            part = prints[first : first + step]
+            some = self.near[0][part[:, 0]].copy()
+            for b in range(1, _BLOCKS):
+                some |= self.near[b][part[:, b]]
+            window, item = np.nonzero(some)
+            near = _ONES[part[window] ^ own[item]].sum(axis=1) <= RADIUS
+            yield from zip((first + window[near]).tolist(), item[near].tolist())
 
 
 @dataclass
@@ -158,17 +166,18 @@ def matches(index: Index, hashes: np.ndarray) -> list[tuple[int, float, int, int
             starts = np.flatnonzero(np.cumsum(edge)[: len(every) - width + 1])
             if not len(starts):
                 continue
-            low = starts[0]
-            prints = fingerprints(every[low : starts[-1] + width], starts - low, width)
             best: dict[int, list] = {}
-            for window, item in zip(*here.candidates(prints)):
-                start = int(starts[window])
-                value = similarity(_weighted(every[start : start + width]), here.sets[item])
-                if value >= THRESHOLD:
-                    known = best.setdefault(here.ids[item], [value, start, 0])
-                    known[2] += 1
-                    if value > known[0]:
-                        known[:2] = value, start
+            for some in np.split(starts, np.flatnonzero(np.diff(starts // SPAN)) + 1):
+                low = some[0]
+                prints = fingerprints(every[low : some[-1] + width], some - low, width)
+                for window, item in here.candidates(prints):
+                    start = int(some[window])
+                    value = similarity(_weighted(every[start : start + width]), here.sets[item])
+                    if value >= THRESHOLD:
+                        known = best.setdefault(here.ids[item], [value, start, 0])
+                        known[2] += 1
+                        if value > known[0]:
+                            known[:2] = value, start
             found += [(item, *values) for item, values in best.items()]
     return found
 

@@ -69,7 +69,7 @@ def test_parts_of_a_large_benchmark(spark, monkeypatch):
     assert sorted(map(tuple, dc.contaminations(docs, bench).collect())) == whole
 
 
-def test_multi_index_gives_all_within_the_radius():
+def test_multi_index_gives_all_within_the_radius(monkeypatch):
     rng = np.random.default_rng(2)
     here = dc.Length(9, 5)
     here.prints = list(rng.integers(0, 256, (200, 16), dtype=np.uint8))
@@ -78,8 +78,32 @@ def test_multi_index_gives_all_within_the_radius():
     flips = rng.random((50, 128)) < 0.33
     asked ^= np.packbits(flips, axis=1)
     distance = np.array([[sum(bin(a ^ b).count("1") for a, b in zip(x, y)) for y in here.prints] for x in asked])
-    window, item = here.candidates(asked)
-    assert set(zip(window.tolist(), item.tolist())) == set(map(tuple, np.argwhere(distance <= dc.RADIUS).tolist()))
+    expected = set(map(tuple, np.argwhere(distance <= dc.RADIUS).tolist()))
+    assert set(here.candidates(asked)) == expected
+    monkeypatch.setattr(dc, "PAIRS", 700)
+    assert set(here.candidates(asked)) == expected
+
+
+def test_long_documents_in_spans(monkeypatch):
+    items, texts = cases()
+    index = dc.build(list(range(len(items))), items)
+    text = " ".join(t for t in texts if t)
+    ((_, hashes, _),) = words.hashed_words([text])
+    whole = sorted(dc.matches(index, hashes))
+    assert len(whole) > len(items) / 2
+    for span in (1, 7, 64):
+        monkeypatch.setattr(dc, "SPAN", span)
+        assert sorted(dc.matches(index, hashes)) == whole
+
+
+def test_fingerprints_by_majority():
+    rng = np.random.default_rng(3)
+    shingles = rng.integers(0, 2**63, 40, dtype=np.uint64)
+    starts = np.array([0, 3, 29])
+    hashed = np.stack([words.mix(shingles), words.mix(shingles ^ np.uint64(0x5851F42D4C957F2D))], axis=1)
+    bits = np.unpackbits(hashed.view(np.uint8).reshape(40, 16), axis=1)
+    expected = [np.packbits(bits[s : s + 11].sum(axis=0) > 5.5) for s in starts]
+    assert (dc.fingerprints(shingles, starts, 11) == np.stack(expected)).all()
 
 
 def test_no_rows(spark):
