@@ -33,6 +33,8 @@ PART = 20_000
 SLICE = 256
 #: Places of a document whose windows are worked off at once, and (window, item) pairs held at once.
 SPAN, PAIRS = 1 << 14, 1 << 20
+#: Counters of bits held at once.
+COUNTS = 1 << 21
 _BLOCKS = BITS // 8
 _ONES = np.array([bin(x).count("1") for x in range(256)], dtype=np.uint8)
 #: Whether two values of a block are near enough.
@@ -42,16 +44,18 @@ _NEAR = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= RADIUS // _B
 def fingerprints(shingles: np.ndarray, starts: np.ndarray, width: int) -> np.ndarray:
     """SimHash, as BITS / 8 bytes, of the windows of ``width`` shingles from some places on.
 
-    Eight bits at a time, so that a long window takes 40 bytes per shingle.
+    As many of the bits at once as keep to about COUNTS counters, eight at least.
     """
     both = np.stack([words.mix(shingles), words.mix(shingles ^ np.uint64(0x5851F42D4C957F2D))], axis=1)
     hashed = both.view(np.uint8).reshape(len(shingles), _BLOCKS)
     out = np.empty((len(starts), _BLOCKS), dtype=np.uint8)
-    ones = np.zeros((len(shingles) + 1, 8), dtype=np.int32)
-    for b in range(_BLOCKS):
-        np.cumsum(np.unpackbits(hashed[:, b : b + 1], axis=1), axis=0, out=ones[1:])
+    step = min(_BLOCKS, max(1, COUNTS // (8 * len(shingles) + 8)))
+    for b in range(0, _BLOCKS, step):
+        bits = np.unpackbits(hashed[:, b : b + step], axis=1)
+        ones = np.zeros((len(bits) + 1, bits.shape[1]), dtype=np.int32)
+        np.cumsum(bits, axis=0, out=ones[1:])
         # A bit is set if more than half of the shingles have it.
-        out[:, b] = np.packbits(2 * (ones[starts + width] - ones[starts]) > width, axis=1)[:, 0]
+        out[:, b : b + step] = np.packbits(2 * (ones[starts + width] - ones[starts]) > width, axis=1)
     return out
 
 

@@ -96,14 +96,16 @@ def test_long_documents_in_spans(monkeypatch):
         assert sorted(dc.matches(index, hashes)) == whole
 
 
-def test_fingerprints_by_majority():
+def test_fingerprints_by_majority(monkeypatch):
     rng = np.random.default_rng(3)
     shingles = rng.integers(0, 2**63, 40, dtype=np.uint64)
     starts = np.array([0, 3, 29])
     hashed = np.stack([words.mix(shingles), words.mix(shingles ^ np.uint64(0x5851F42D4C957F2D))], axis=1)
     bits = np.unpackbits(hashed.view(np.uint8).reshape(40, 16), axis=1)
     expected = [np.packbits(bits[s : s + 11].sum(axis=0) > 5.5) for s in starts]
-    assert (dc.fingerprints(shingles, starts, 11) == np.stack(expected)).all()
+    for counts in (1, 5 * 8 * 41, 1 << 21):
+        monkeypatch.setattr(dc, "COUNTS", counts)
+        assert (dc.fingerprints(shingles, starts, 11) == np.stack(expected)).all()
 
 
 def test_no_rows(spark):
