@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
@@ -29,29 +29,34 @@ def dim_source_system(spark: SparkSession, sources: Sequence[Source]) -> DataFra
     return conform(members, DIM_SOURCE_SYSTEM)
 
 
-def _members(mapped: Mapped, prefix: str, keys: Sequence[str], schema: StructType) -> DataFrame:
-    df, types = mapped.evaluated()
+def _members(
+    mapped: Mapped, prefix: str, keys: Sequence[str], schema: StructType, only: Collection[str] | None
+) -> DataFrame:
+    """The dimension's rows; with ``only`` just these columns, without lookups they do not need."""
+    if only is not None:
+        schema = StructType([f for f in schema.fields if f.name in only])
+    df, types = mapped.evaluated(only)
     made = {k: canonical_key(prefix, F.col(k), types[k]) for k in keys if k in types}
     if "UnitPrice" in types:
         made["UnitPrice"] = money(F.col("UnitPrice"))
     return conform(df.withColumns(made), schema)
 
 
-def customers_of(source: Source) -> DataFrame:
+def customers_of(source: Source, only: Collection[str] | None = None) -> DataFrame:
     spec = source.spec
-    return _members(spec.customers(source.raw), spec.prefix, ("CustomerID",), DIM_CUSTOMER)
+    return _members(spec.customers(source.raw), spec.prefix, ("CustomerID",), DIM_CUSTOMER, only)
 
 
-def employees_of(source: Source) -> DataFrame:
+def employees_of(source: Source, only: Collection[str] | None = None) -> DataFrame:
     spec = source.spec
     return _members(
-        spec.employees(source.raw), spec.prefix, ("EmployeeID", "ReportsTo"), DIM_EMPLOYEE
+        spec.employees(source.raw), spec.prefix, ("EmployeeID", "ReportsTo"), DIM_EMPLOYEE, only
     )
 
 
-def products_of(source: Source) -> DataFrame:
+def products_of(source: Source, only: Collection[str] | None = None) -> DataFrame:
     spec = source.spec
-    return _members(spec.products(source.raw), spec.prefix, ("ProductID",), DIM_PRODUCT)
+    return _members(spec.products(source.raw), spec.prefix, ("ProductID",), DIM_PRODUCT, only)
 
 
 def dates_of(source: Source) -> DataFrame:
@@ -61,16 +66,16 @@ def dates_of(source: Source) -> DataFrame:
     return days.where(F.col("FullDate").isNotNull())
 
 
-def dim_customer(sources: Sequence[Source]) -> DataFrame:
-    return union_all(customers_of(s) for s in sources)
+def dim_customer(sources: Sequence[Source], only: Collection[str] | None = None) -> DataFrame:
+    return union_all(customers_of(s, only) for s in sources)
 
 
-def dim_employee(sources: Sequence[Source]) -> DataFrame:
-    return union_all(employees_of(s) for s in sources)
+def dim_employee(sources: Sequence[Source], only: Collection[str] | None = None) -> DataFrame:
+    return union_all(employees_of(s, only) for s in sources)
 
 
-def dim_product(sources: Sequence[Source]) -> DataFrame:
-    return union_all(products_of(s) for s in sources)
+def dim_product(sources: Sequence[Source], only: Collection[str] | None = None) -> DataFrame:
+    return union_all(products_of(s, only) for s in sources)
 
 
 def calendar(days: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DataType
 
 from starmart.functions import (
     canonical_key,
@@ -16,6 +17,24 @@ from starmart.functions import (
 from starmart.schema import FACT_SALES, conform
 from starmart.sources.spec import Source, union_all
 
+#: What header sales share with the fact.
+HEADER_COLUMNS = ("DateKey", "CustomerID", "SourceSystemID", "SalesQuantity", "SalesAmount")
+
+
+def _measured(types: dict[str, DataType]) -> tuple[Column, Column, Column]:
+    """Price (or amount) as delivered, the amount, and whether both measures have a value."""
+    units = F.col("Quantity")
+    if "Amount" in types:
+        price, amount = F.col("Amount"), money(F.col("Amount"))
+        sizes, inputs = [units, price], ["Quantity", "Amount"]
+    else:
+        price = F.col("UnitPrice")
+        amount = line_amount(price, units)
+        product = price.cast("double") * units.cast("double")
+        sizes, inputs = [units, price, product], ["Quantity", "UnitPrice"]
+    exact = quantity(units).isNotNull() & amount.isNotNull()
+    return price, amount, surely_fits(sizes, [types[name] for name in inputs]) | exact
+
 
 def staged_sales(source: Source) -> DataFrame:
     """Joined lines of one source: the fact columns next to the values they came from.
@@ -31,16 +50,7 @@ def staged_sales(source: Source) -> DataFrame:
         return canonical_key(spec.prefix, F.col(target), types[target]).alias(target)
 
     units = F.col("Quantity")
-    if "Amount" in types:
-        price, amount = F.col("Amount"), money(F.col("Amount"))
-        sizes, inputs = [units, price], ["Quantity", "Amount"]
-    else:
-        price = F.col("UnitPrice")
-        amount = line_amount(price, units)
-        product = price.cast("double") * units.cast("double")
-        sizes, inputs = [units, price, product], ["Quantity", "UnitPrice"]
-    exact = quantity(units).isNotNull() & amount.isNotNull()
-    usable = surely_fits(sizes, [types[name] for name in inputs]) | exact
+    price, amount, usable = _measured(types)
     return df.select(
         "LineKey",
         F.col("OrderDate").cast("string").alias("RawDate"),
@@ -65,3 +75,37 @@ def sales_of(source: Source) -> DataFrame:
 def fact_sales(sources: Sequence[Source]) -> DataFrame:
     """All sources. The measure columns are never NULL, the keys of a line may be."""
     return union_all(sales_of(s) for s in sources)
+
+
+def header_sales_of(source: Source) -> DataFrame:
+    """The source's sales without what only lines know, summed per header below the join.
+
+    A hot header reaches the join as one row per task, and a header with many lines
+    as one row. A source without headers gives its lines.
+    """
+    spec = source.spec
+    if spec.header_sales is None:
+        return sales_of(source).select(*HEADER_COLUMNS, F.lit(1).cast("bigint").alias("Lines"))
+    parts = spec.header_sales(source.raw)
+    lines, types = parts.lines.evaluated()
+    _, amount, usable = _measured(types)
+    sums = (
+        lines.where(usable)
+        .select("HeaderKey", quantity(F.col("Quantity")).alias("SalesQuantity"), amount.alias("SalesAmount"))
+        .groupBy("HeaderKey")
+        .agg(
+            F.sum("SalesQuantity").alias("SalesQuantity"),
+            F.sum("SalesAmount").alias("SalesAmount"),
+            F.count(F.lit(1)).alias("Lines"),
+        )
+    )
+    headers, header_types = parts.headers.evaluated()
+    key = canonical_key(spec.prefix, F.col("CustomerID"), header_types["CustomerID"])
+    keyed = headers.withColumn("CustomerID", key)
+    joined = sums.join(keyed, "HeaderKey").withColumn("SourceSystemID", F.lit(spec.system_id))
+    return joined.select(*HEADER_COLUMNS, "Lines")
+
+
+def header_sales(sources: Sequence[Source]) -> DataFrame:
+    """All sources: for reports on source, date and customer, whose sums need no single line."""
+    return union_all(header_sales_of(s) for s in sources)

@@ -9,6 +9,14 @@ from starmart.schema import FACT_SALES
 from starmart.scratch import stored
 
 
+#: What the sentences read of the members.
+NAMES = {
+    "DimCustomer": ("CustomerID", "CustomerName"),
+    "DimEmployee": ("EmployeeID", "EmployeeName", "Title"),
+    "DimProduct": ("ProductID", "ProductName"),
+}
+
+
 def describe_fact_rows(
     fact: DataFrame,
     dim_customer: DataFrame,

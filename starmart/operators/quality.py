@@ -12,6 +12,8 @@ from starmart.operators.fact import sales_of, staged_sales
 from starmart.schema import STAR_TABLES
 from starmart.sources.spec import ForeignKey, Source, union_all
 
+#: What key usage reads of the members.
+MEMBER_KEYS = {"DimCustomer": ("CustomerID",), "DimEmployee": ("EmployeeID", "ReportsTo"), "DimProduct": ("ProductID",)}
 FACT_KEYS = ("DateKey", "CustomerID", "EmployeeID", "ProductID", "SourceSystemID")
 
 
@@ -58,28 +60,31 @@ def key_usage(
     text_keys = [F.col(k).cast("string").alias(k) for k in FACT_KEYS]
     given = F.col("KeyValue").isNotNull()
     used = _unpivot(fact.select(*text_keys), [], FACT_KEYS, "ForeignKey", "KeyValue").where(given)
-    managers = dim_employee.select(
-        F.lit("ReportsTo").alias("ForeignKey"), F.col("ReportsTo").alias("KeyValue")
-    ).where(given)
 
-    def defined(dim: DataFrame, column: str, foreign_key: str | None = None) -> DataFrame:
-        return dim.select(
-            F.lit(foreign_key or column).alias("ForeignKey"),
+    def role(foreign_key: str, column: str, use: int) -> Column:
+        return F.struct(
+            F.lit(foreign_key).alias("ForeignKey"),
             F.col(column).cast("string").alias("KeyValue"),
+            F.lit(use).alias("Use"),
         )
 
-    members = union_all(
+    def defined(dim: DataFrame, column: str) -> DataFrame:
+        return dim.select(role(column, column, 0).alias("role")).select("role.*")
+
+    # An employee defines an id for both foreign keys and uses that of the manager: one scan for all three.
+    roles = F.array(
+        role("EmployeeID", "EmployeeID", 0), role("ReportsTo", "EmployeeID", 0), role("ReportsTo", "ReportsTo", 1)
+    )
+    stacked = union_all(
         [
+            used.select("ForeignKey", "KeyValue", F.lit(1).alias("Use")),
             defined(dim_time, "DateKey"),
             defined(dim_customer, "CustomerID").where(given),
-            defined(dim_employee, "EmployeeID").where(given),
-            defined(dim_employee, "EmployeeID", "ReportsTo").where(given),
+            dim_employee.select(F.explode(roles).alias("role")).select("role.*").where(given),
             defined(dim_product, "ProductID").where(given),
             defined(dim_source_system, "SourceSystemID"),
         ]
     )
-    uses = used.unionByName(managers).select("ForeignKey", "KeyValue", F.lit(1).alias("Use"))
-    stacked = uses.unionByName(members.select("ForeignKey", "KeyValue", F.lit(0).alias("Use")))
     return (
         stacked.groupBy("ForeignKey", "KeyValue")
         .agg(
@@ -284,7 +289,7 @@ def attribute_coverage(sources: Sequence[Source]) -> DataFrame:
     for source in sources:
         for table, (build, mapping) in _CONTRIBUTIONS.items():
             schema = STAR_TABLES[table]
-            rules = getattr(source.spec, mapping)(source.raw).rules
+            rules = getattr(source.spec, mapping)(source.raw).targets()
             derived = table in ("FactSales", "DimTime")
             counts = build(source).agg(
                 F.count("*").alias("RowCount"),

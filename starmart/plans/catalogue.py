@@ -86,36 +86,37 @@ def _person_name(raw: RawZone) -> DataFrame:
 # Reports
 
 
-def _filtered(star: Star, *names: str) -> DataFrame:
-    return filters.filter_sales(star.fact_sales, star.source_ids(names), FILTER_FIRST, FILTER_LAST)
+def _filtered(star: Star, fact: DataFrame, *names: str) -> DataFrame:
+    return filters.filter_sales(fact, star.source_ids(names), FILTER_FIRST, FILTER_LAST)
 
 
 def _period(granularity: str, split: bool = False) -> Query:
     return _on_star(
         lambda s: bi.sales_by_period(
-            s.fact_sales, s.dim_time, s.dim_source_system, granularity, split
+            s.header_sales, s.dim_time, s.dim_source_system, granularity, split
         )
     )
 
 
 def _scale_gap(star: Star) -> DataFrame:
-    comparison = bi.source_system_comparison(star.fact_sales, star.dim_source_system)
+    comparison = bi.source_system_comparison(star.header_sales, star.dim_source_system)
     return union_all(bi.scale_gap(comparison, m) for m in ("SalesAmount", "AvgLineValue"))
 
 
 def _totals_check(star: Star) -> DataFrame:
     documented = testdata.raw_totals(star.sources[0].raw)
-    return acceptance.check_totals(star.fact_sales, star.dim_source_system, documented)
+    return acceptance.check_totals(star.header_sales, star.dim_source_system, documented)
 
 
 def _narrate(star: Star, fact: DataFrame) -> DataFrame:
+    named = star.tables(narrate.NAMES)
     return narrate.describe_fact_rows(
         fact,
-        star.dim_customer,
-        star.dim_employee,
-        star.dim_product,
-        star.dim_time,
-        star.dim_source_system,
+        named["DimCustomer"],
+        named["DimEmployee"],
+        named["DimProduct"],
+        named["DimTime"],
+        named["DimSourceSystem"],
     )
 
 
@@ -153,7 +154,7 @@ def _line_measure(raw: RawZone) -> DataFrame:
 
 
 def _key_usage(star: Star) -> DataFrame:
-    return quality.key_usage(*star.tables().values())
+    return quality.key_usage(*star.tables(quality.MEMBER_KEYS).values())
 
 
 def _third_source(spark: SparkSession, root: str) -> DataFrame:
@@ -187,18 +188,18 @@ QUERIES: dict[str, Query] = {
     ),
     "attribute_coverage": _on_star(lambda s: quality.attribute_coverage(s.sources)),
     # reports
-    "revenue_by_source": _on_star(lambda s: bi.revenue_by_source(s.fact_sales, s.dim_source_system)),
-    "filtered_revenue": _on_star(lambda s: bi.revenue_by_source(_filtered(s, "Orders"), s.dim_source_system)),
+    "revenue_by_source": _on_star(lambda s: bi.revenue_by_source(s.header_sales, s.dim_source_system)),
+    "filtered_revenue": _on_star(lambda s: bi.revenue_by_source(_filtered(s, s.header_sales, "Orders"), s.dim_source_system)),
     "top_customers": _on_star(
-        lambda s: bi.top_customers(s.fact_sales, s.dim_customer, s.dim_source_system)
+        lambda s: bi.top_customers(s.header_sales, s.dim_customer, s.dim_source_system)
     ),
     "top_customers_split": _on_star(
         lambda s: bi.top_customers(
-            s.fact_sales, s.dim_customer, s.dim_source_system, split_by_source=True
+            s.header_sales, s.dim_customer, s.dim_source_system, split_by_source=True
         )
     ),
     "top_customers_per_source": _on_star(
-        lambda s: bi.top_customers_per_source(s.fact_sales, s.dim_customer, s.dim_source_system)
+        lambda s: bi.top_customers_per_source(s.header_sales, s.dim_customer, s.dim_source_system)
     ),
     "top_products": _on_star(lambda s: bi.top_products(s.fact_sales, s.dim_product)),
     "top_products_by_quantity": _on_star(
@@ -224,27 +225,27 @@ QUERIES: dict[str, Query] = {
     "sales_by_period_source": _period("Month", split=True),
     "period_source_pivot": _on_star(
         lambda s: bi.period_source_pivot(
-            s.fact_sales, s.dim_time, s.dim_source_system, sorted(x.spec.name for x in s.sources)
+            s.header_sales, s.dim_time, s.dim_source_system, sorted(x.spec.name for x in s.sources)
         )
     ),
-    "sales_by_year_month": _on_star(lambda s: bi.sales_by_year_month(s.fact_sales, s.dim_time)),
-    "sales_by_day_of_week": _on_star(lambda s: bi.sales_by_day_of_week(s.fact_sales, s.dim_time)),
-    "sales_by_day_of_month": _on_star(lambda s: bi.sales_by_day_of_month(s.fact_sales, s.dim_time)),
+    "sales_by_year_month": _on_star(lambda s: bi.sales_by_year_month(s.header_sales, s.dim_time)),
+    "sales_by_day_of_week": _on_star(lambda s: bi.sales_by_day_of_week(s.header_sales, s.dim_time)),
+    "sales_by_day_of_month": _on_star(lambda s: bi.sales_by_day_of_month(s.header_sales, s.dim_time)),
     "source_system_comparison": _on_star(
-        lambda s: bi.source_system_comparison(s.fact_sales, s.dim_source_system)
+        lambda s: bi.source_system_comparison(s.header_sales, s.dim_source_system)
     ),
-    "revenue_share": _on_star(lambda s: bi.revenue_share(s.fact_sales, s.dim_source_system)),
+    "revenue_share": _on_star(lambda s: bi.revenue_share(s.header_sales, s.dim_source_system)),
     "scale_gap": _on_star(_scale_gap),
-    "totals_rollup": _on_star(lambda s: bi.totals_rollup(s.fact_sales, s.dim_source_system)),
+    "totals_rollup": _on_star(lambda s: bi.totals_rollup(s.header_sales, s.dim_source_system)),
     "totals_check": _on_star(_totals_check),
-    "date_bounds": _on_star(lambda s: filters.date_bounds(s.fact_sales)),
+    "date_bounds": _on_star(lambda s: filters.date_bounds(s.header_sales)),
     "sales_by_classification": _on_star(
         lambda s: bi.sales_by_classification(s.fact_sales, s.dim_product)
     ),
     "sales_by_title": _on_star(lambda s: bi.sales_by_title(s.fact_sales, s.dim_employee)),
     "fact_narrative": _on_star(lambda s: _narrate(s, s.fact_sales)),
     "picked_row_narrative": _on_star(
-        lambda s: _narrate(s, narrate.nth_fact_row(_filtered(s, "Orders", "Events"), PICKED_ROW))
+        lambda s: _narrate(s, narrate.nth_fact_row(_filtered(s, s.fact_sales, "Orders", "Events"), PICKED_ROW))
     ),
     "top_parents_by_children": _on_raw(
         lambda raw: bi.top_parents_by_children(

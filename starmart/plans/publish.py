@@ -7,7 +7,7 @@ sources have published is not touched.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from datetime import date
 from functools import cached_property
 
@@ -22,7 +22,7 @@ from starmart.operators.dims import (
     employees_of,
     products_of,
 )
-from starmart.operators.fact import sales_of
+from starmart.operators.fact import HEADER_COLUMNS, sales_of
 from starmart.operators.filters import filter_sales
 from starmart.operators.quality import quarantine, violations
 from starmart.plans.star import Star
@@ -85,6 +85,15 @@ class PublishedStar(Star):
     def fact_sales(self) -> DataFrame:
         return self._partitioned_sales.select(*FACT_SALES.names)
 
+    @cached_property
+    def header_sales(self) -> DataFrame:
+        """The published lines, whose headers are joined already, one by one."""
+        return self.fact_sales.select(*HEADER_COLUMNS, F.lit(1).cast("bigint").alias("Lines"))
+
+    def tables(self, only: Mapping[str, Collection[str]] | None = None) -> dict[str, DataFrame]:
+        some = only or {}
+        return {name: df.select(*some.get(name, df.columns)) for name, df in super().tables().items()}
+
     @cached_property
     def dim_time(self) -> DataFrame:
         """Each source publishes its dates; a date that several share is one member."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
@@ -26,6 +26,11 @@ class Star:
     def fact_sales(self) -> DataFrame:
         return fact.fact_sales(self.sources)
 
+    @cached_property
+    def header_sales(self) -> DataFrame:
+        """Sums per header: the fact for reports on source, date and customer."""
+        return fact.header_sales(self.sources)
+
     @cached_property
     def dim_time(self) -> DataFrame:
         return dims.dim_time(self.sources)
@@ -61,13 +66,19 @@ class Star:
         ids = None if source_names is None else self.source_ids(source_names)
         return filter_sales(self.fact_sales, ids, first, last)
 
-    def tables(self) -> dict[str, DataFrame]:
+    def tables(self, only: Mapping[str, Collection[str]] | None = None) -> dict[str, DataFrame]:
+        """All tables by name; of the members in ``only`` just the named columns.
+
+        Such a member table is planned without lookups for the columns left out.
+        """
+        some = only or {}
+        customers, employees, products = (some.get(x) for x in ("DimCustomer", "DimEmployee", "DimProduct"))
         frames = (
             self.fact_sales,
             self.dim_time,
-            self.dim_customer,
-            self.dim_employee,
-            self.dim_product,
+            self.dim_customer if customers is None else dims.dim_customer(self.sources, customers),
+            self.dim_employee if employees is None else dims.dim_employee(self.sources, employees),
+            self.dim_product if products is None else dims.dim_product(self.sources, products),
             self.dim_source_system,
         )
         return dict(zip(STAR_TABLES, frames, strict=True))

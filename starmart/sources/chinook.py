@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions import person_name, with_date_key
 from starmart.sources.raw import RawZone
-from starmart.sources.spec import ForeignKey, Mapped, SourceSpec
+from starmart.sources.spec import ForeignKey, HeaderSales, Lookup, Mapped, SourceSpec
 
 # Raw schemas: the columns the mapping reads, with the source's types, and the keys of
 # the other tables.
@@ -65,14 +65,14 @@ def _employees(raw: RawZone) -> Mapped:
 def _products(raw: RawZone) -> Mapped:
     track, genre = raw.table("Track").alias("t"), raw.table("Genre").alias("g")
     return Mapped(
-        track.join(genre, F.col("t.GenreId") == F.col("g.GenreId"), "left"),
+        track,
         {
             "ProductID": F.col("t.TrackId"),
             "ProductName": F.col("t.Name"),
-            "GenreName": F.col("g.Name"),
             "Composer": F.col("t.Composer"),
             "UnitPrice": F.col("t.UnitPrice"),
         },
+        (Lookup(genre, F.col("t.GenreId") == F.col("g.GenreId"), {"GenreName": F.col("g.Name")}),),
     )
 
 
@@ -108,6 +108,30 @@ def _sales(raw: RawZone) -> Mapped:
     )
 
 
+def _header_sales(raw: RawZone) -> HeaderSales:
+    """An invoice counts once for every row of its customer, as in the joined lines."""
+    invoice = with_date_key(raw.table("Invoice"), "InvoiceDate").alias("h")
+    customer = raw.table("Customer").alias("c")
+    return HeaderSales(
+        Mapped(
+            raw.table("InvoiceLine"),
+            {
+                "HeaderKey": F.col("InvoiceId"),
+                "Quantity": F.col("Quantity"),
+                "UnitPrice": F.col("UnitPrice"),
+            },
+        ),
+        Mapped(
+            invoice.join(customer, F.col("h.CustomerId") == F.col("c.CustomerId")),
+            {
+                "HeaderKey": F.col("h.InvoiceId"),
+                "DateKey": F.col("h.DateKey"),
+                "CustomerID": F.col("h.CustomerId"),
+            },
+        ),
+    )
+
+
 CHINOOK = SourceSpec(
     system_id=1,
     name="Chinook",
@@ -117,6 +141,7 @@ CHINOOK = SourceSpec(
     products=_products,
     dates=_dates,
     sales=_sales,
+    header_sales=_header_sales,
     lines=_lines,
     line_key=("InvoiceLineId",),
     tables=tuple(RAW_SCHEMAS),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmart.functions import line_key, person_name, with_date_key
 from starmart.sources.raw import RawZone
-from starmart.sources.spec import ForeignKey, Mapped, SourceSpec
+from starmart.sources.spec import ForeignKey, HeaderSales, Lookup, Mapped, SourceSpec
 
 # Raw schemas: the columns the mapping reads, with the source's types, and the keys of
 # the other tables. Discount is kept in the raw zone and read by no mapping.
@@ -68,13 +68,19 @@ def _employees(raw: RawZone) -> Mapped:
 def _products(raw: RawZone) -> Mapped:
     product, category = raw.table("Products").alias("p"), raw.table("Categories").alias("c")
     return Mapped(
-        product.join(category, F.col("p.CategoryID") == F.col("c.CategoryID"), "left"),
+        product,
         {
             "ProductID": F.col("p.ProductID"),
             "ProductName": F.col("p.ProductName"),
-            "CategoryName": F.col("c.CategoryName"),
             "UnitPrice": F.col("p.UnitPrice"),
         },
+        (
+            Lookup(
+                category,
+                F.col("p.CategoryID") == F.col("c.CategoryID"),
+                {"CategoryName": F.col("c.CategoryName")},
+            ),
+        ),
     )
 
 
@@ -104,6 +110,20 @@ def _sales(raw: RawZone) -> Mapped:
     )
 
 
+def _header_sales(raw: RawZone) -> HeaderSales:
+    columns = ("Quantity", "UnitPrice")
+    headers = with_date_key(raw.table("Orders"), "OrderDate")
+    return HeaderSales(
+        Mapped(
+            raw.table("Order Details"), {"HeaderKey": F.col("OrderID"), **{c: F.col(c) for c in columns}}
+        ),
+        Mapped(
+            headers,
+            {"HeaderKey": F.col("OrderID"), "DateKey": F.col("DateKey"), "CustomerID": F.col("CustomerID")},
+        ),
+    )
+
+
 NORTHWIND = SourceSpec(
     system_id=2,
     name="Northwind",
@@ -113,6 +133,7 @@ NORTHWIND = SourceSpec(
     products=_products,
     dates=_dates,
     sales=_sales,
+    header_sales=_header_sales,
     lines=_lines,
     line_key=("OrderID", "ProductID"),
     tables=tuple(RAW_SCHEMAS),

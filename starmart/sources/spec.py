@@ -7,7 +7,7 @@ NULL for that source.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Collection, Iterable
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -18,18 +18,63 @@ from starmart.sources.raw import RawZone
 
 
 @dataclass(frozen=True)
-class Mapped:
-    """Source rows (after the source's own joins) and the target expressions on them."""
+class Lookup:
+    """Rows joined on the left for some attributes; ``lookups`` hang on the joined rows."""
 
     rows: DataFrame
+    on: Column
     rules: dict[str, Column]
+    lookups: tuple[Lookup, ...] = ()
+
+    def targets(self) -> set[str]:
+        return set(self.rules).union(*[x.targets() for x in self.lookups])
+
+
+@dataclass(frozen=True)
+class Mapped:
+    """Source rows (after the source's own joins) and the target expressions on them.
+
+    ``lookups`` bring further attributes. One whose attributes nobody asks for is
+    left out of the plan: Spark has to keep a left join, as its key may repeat.
+    """
 
-    def evaluated(self) -> tuple[DataFrame, dict[str, DataType]]:
-        """The rules as columns named after their targets, and the types they came out with."""
-        df = self.rows.select(*[rule.alias(target) for target, rule in self.rules.items()])
+    rows: DataFrame
+    rules: dict[str, Column]
+    lookups: tuple[Lookup, ...] = ()
+
+    def targets(self) -> set[str]:
+        """All attributes there are, those of lookups among them."""
+        return set(self.rules).union(*[x.targets() for x in self.lookups])
+
+    def evaluated(self, only: Collection[str] | None = None) -> tuple[DataFrame, dict[str, DataType]]:
+        """The rules (all, or ``only`` some) as columns named after their targets, and their types."""
+        rows, rules = self.rows, dict(self.rules)
+        pending = list(self.lookups)
+        while pending:
+            lookup = pending.pop(0)
+            if only is None or lookup.targets() & set(only):
+                rows = rows.join(lookup.rows, lookup.on, "left")
+                rules.update(lookup.rules)
+                pending += lookup.lookups
+        df = rows.select(
+            *[rule.alias(target) for target, rule in rules.items() if only is None or target in only]
+        )
         return df, {f.name: f.dataType for f in df.schema.fields}
 
 
+@dataclass(frozen=True)
+class HeaderSales:
+    """Lines and headers before their join, for reports on what only headers say.
+
+    ``lines`` maps line rows to ``Quantity`` and ``UnitPrice`` or ``Amount``,
+    ``headers`` maps header rows to ``DateKey`` and ``CustomerID``; both bring
+    ``HeaderKey``, on which they meet.
+    """
+
+    lines: Mapped
+    headers: Mapped
+
+
 @dataclass(frozen=True)
 class ForeignKey:
     table: str
@@ -48,7 +93,8 @@ class SourceSpec:
     ``sales`` maps joined lines to ``LineKey``, ``OrderDate`` as delivered, its
     ``DateKey`` (see ``with_date_key``), ``CustomerID``, ``EmployeeID``,
     ``ProductID``, ``Quantity`` and ``UnitPrice``, or ``Amount`` where the source
-    stores the amount of the line. ``lines`` gives the line
+    stores the amount of the line. ``header_sales`` gives the same lines and headers
+    apart, where there are headers. ``lines`` gives the line
     rows before any join, to count what the joins lose.
     """
 
@@ -62,6 +108,7 @@ class SourceSpec:
     sales: Callable[[RawZone], Mapped]
     lines: Callable[[RawZone], DataFrame]
     line_key: tuple[str, ...]
+    header_sales: Callable[[RawZone], HeaderSales] | None = None
     tables: tuple[str, ...] = ()
     primary_keys: dict[str, tuple[str, ...]] = field(default_factory=dict)
     foreign_keys: tuple[ForeignKey, ...] = ()

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmart.functions import line_key, with_date_key
 from starmart.sources.raw import RawZone
-from starmart.sources.spec import ForeignKey, Mapped, Source, SourceSpec, union_all
+from starmart.sources.spec import ForeignKey, HeaderSales, Lookup, Mapped, Source, SourceSpec, union_all
 
 RAW_SCHEMAS = {
     "region": "r_regionkey int, r_name string",
@@ -54,9 +54,8 @@ def _keys_of(*tables: str) -> dict[str, tuple[str, ...]]:
     return {t: PRIMARY_KEYS[t] for t in tables}
 
 
-def _with_nation(raw: RawZone, rows: DataFrame, nation_key: str) -> DataFrame:
-    nation = raw.table("nation")
-    return rows.join(nation, rows[nation_key] == nation["n_nationkey"], "left")
+def _nation(raw: RawZone, nation_key: str) -> Lookup:
+    return Lookup(raw.table("nation"), F.col(nation_key) == F.col("n_nationkey"), {"Country": F.col("n_name")})
 
 
 # ORDERS
@@ -64,24 +63,21 @@ def _with_nation(raw: RawZone, rows: DataFrame, nation_key: str) -> DataFrame:
 
 def _order_customers(raw: RawZone) -> Mapped:
     return Mapped(
-        _with_nation(raw, raw.table("customer"), "c_nationkey"),
-        {
-            "CustomerID": F.col("c_custkey"),
-            "CustomerName": F.col("c_name"),
-            "Country": F.col("n_name"),
-        },
+        raw.table("customer"),
+        {"CustomerID": F.col("c_custkey"), "CustomerName": F.col("c_name")},
+        (_nation(raw, "c_nationkey"),),
     )
 
 
 def _order_employees(raw: RawZone) -> Mapped:
     return Mapped(
-        _with_nation(raw, raw.table("supplier"), "s_nationkey"),
+        raw.table("supplier"),
         {
             "EmployeeID": F.col("s_suppkey"),
             "EmployeeName": F.col("s_name"),
             "Title": F.lit("Supplier"),
-            "Country": F.col("n_name"),
         },
+        (_nation(raw, "s_nationkey"),),
     )
 
 
@@ -125,6 +121,27 @@ def _order_sales(raw: RawZone) -> Mapped:
     )
 
 
+def _order_header_sales(raw: RawZone) -> HeaderSales:
+    return HeaderSales(
+        Mapped(
+            raw.table("lineitem"),
+            {
+                "HeaderKey": F.col("l_orderkey"),
+                "Quantity": F.col("l_quantity"),
+                "Amount": F.col("l_extendedprice"),
+            },
+        ),
+        Mapped(
+            with_date_key(raw.table("orders"), "o_orderdate"),
+            {
+                "HeaderKey": F.col("o_orderkey"),
+                "DateKey": F.col("DateKey"),
+                "CustomerID": F.col("o_custkey"),
+            },
+        ),
+    )
+
+
 ORDERS = SourceSpec(
     system_id=1,
     name="Orders",
@@ -134,6 +151,7 @@ ORDERS = SourceSpec(
     products=_order_products,
     dates=_order_dates,
     sales=_order_sales,
+    header_sales=_order_header_sales,
     lines=_order_lines,
     line_key=("l_orderkey", "l_linenumber"),
     tables=("customer", "lineitem", "nation", "orders", "part", "supplier"),
@@ -159,15 +177,13 @@ def event_product() -> Column:
 def _event_customers(raw: RawZone) -> Mapped:
     users = raw.table("events").select("user_id").distinct()
     customer = raw.table("customer")
-    rows = users.join(customer, users["user_id"] == customer["c_custkey"], "left")
-    return Mapped(
-        _with_nation(raw, rows, "c_nationkey"),
-        {
-            "CustomerID": F.col("user_id"),
-            "CustomerName": F.col("c_name"),
-            "Country": F.col("n_name"),
-        },
+    known = Lookup(
+        customer,
+        F.col("user_id") == F.col("c_custkey"),
+        {"CustomerName": F.col("c_name")},
+        (_nation(raw, "c_nationkey"),),
     )
+    return Mapped(users, {"CustomerID": F.col("user_id")}, (known,))
 
 
 def _event_employees(raw: RawZone) -> Mapped:
@@ -191,15 +207,16 @@ def _event_employees(raw: RawZone) -> Mapped:
 def _event_products(raw: RawZone) -> Mapped:
     sold = raw.table("events").select(event_product().alias("k")).distinct()
     part = raw.table("part")
-    return Mapped(
-        sold.join(part, sold["k"] == part["p_partkey"], "left"),
+    known = Lookup(
+        part,
+        F.col("k") == F.col("p_partkey"),
         {
-            "ProductID": F.col("k"),
             "ProductName": F.col("p_name"),
             "GenreName": F.col("p_brand"),
             "UnitPrice": F.col("p_retailprice"),
         },
     )
+    return Mapped(sold, {"ProductID": F.col("k")}, (known,))
 
 
 def _events_as_source(event_type: str, system_id: int, name: str, prefix: str) -> SourceSpec:

@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from starmart.plans.catalogue import QUERIES
 from starmart import Star
 from starmart.operators import bi
+from starmart.operators.filters import date_bounds, filter_sales
 from starmart.sources import testdata
+from starmart.sources.spec import Source
 from tests.test_oracle import ROOT
 
 
@@ -153,3 +155,60 @@ def test_hot_key_is_split_by_aqe(spark, no_broadcast):
 def test_range_filter_on_the_fact_needs_no_dimension(big):
     text = plan(big.sales(first=date(1996, 1, 1), last=date(1996, 12, 31)))
     assert "DateKey" in text and text.count("Join") <= 2
+
+
+REPORTS_ON_HEADERS = {
+    "revenue_by_source": lambda s, f: bi.revenue_by_source(f, s.dim_source_system),
+    "totals_rollup": lambda s, f: bi.totals_rollup(f, s.dim_source_system),
+    "comparison": lambda s, f: bi.source_system_comparison(f, s.dim_source_system),
+    "share": lambda s, f: bi.revenue_share(f, s.dim_source_system),
+    "months": lambda s, f: bi.sales_by_period(f, s.dim_time, s.dim_source_system, "Month", True),
+    "top_customers": lambda s, f: bi.top_customers(f, s.dim_customer, s.dim_source_system, 50, True),
+    "bounds": lambda s, f: date_bounds(f),
+    "filtered": lambda s, f: bi.revenue_by_source(
+        filter_sales(f, None, date(1996, 3, 1), date(2024, 1, 15)), s.dim_source_system
+    ),
+}
+
+
+@pytest.mark.parametrize("name", REPORTS_ON_HEADERS)
+def test_header_sales_give_the_same_reports(big, star, name):
+    report = REPORTS_ON_HEADERS[name]
+    for one in (big, star):
+        assert report(one, one.header_sales).collect() == report(one, one.fact_sales).collect()
+
+
+def test_lines_are_summed_per_header_before_the_join(big, no_broadcast):
+    text = plan(bi.revenue_by_source(big.header_sales, big.dim_source_system))
+    lines = text[text.index("SortMergeJoin [HeaderKey") :]
+    assert lines.index("HashAggregate(keys=[HeaderKey") < lines.index("Exchange hashpartitioning(HeaderKey")
+    assert lines.index("Exchange hashpartitioning(HeaderKey") < lines.index("partial_sum(SalesAmount")
+    assert lines.index("partial_sum(SalesAmount") < lines.index("lineitem.parquet")
+
+
+def test_repeated_headers_and_missing_keys_count_as_in_the_lines(spark):
+    raw = testdata.sources(spark, ROOT)[0].raw
+    orders, lines = raw.table("orders"), raw.table("lineitem")
+    twice = orders.unionAll(orders.where("o_orderkey % 7 = 0"))
+    keyless = lines.withColumn("l_orderkey", F.when(F.col("l_partkey") % 5 != 0, F.col("l_orderkey")))
+    bad = keyless.withColumn("l_quantity", F.when(F.col("l_suppkey") % 9 != 0, F.col("l_quantity")))
+    source = Source(testdata.ORDERS, raw.replacing(orders=twice, lineitem=bad))
+    one = Star(spark, [source])
+    for name in ("comparison", "months", "top_customers"):
+        report = REPORTS_ON_HEADERS[name]
+        assert report(one, one.header_sales).collect() == report(one, one.fact_sales).collect()
+
+
+def test_unread_lookups_are_left_out(big):
+    from starmart.operators import narrate, quality
+
+    keys = big.tables(quality.MEMBER_KEYS)
+    assert keys["DimCustomer"].columns == ["CustomerID"]
+    assert keys["DimEmployee"].columns == ["EmployeeID", "ReportsTo"]
+    assert "nation.parquet" in plan(big.dim_customer)
+    assert "nation.parquet" not in plan(keys["DimCustomer"])
+    names = big.tables(narrate.NAMES)["DimCustomer"]
+    assert "nation.parquet" not in plan(names)
+    assert sorted(names.collect()) == sorted(big.dim_customer.select("CustomerID", "CustomerName").collect())
+    narrow, whole = (quality.key_usage(*t.values()) for t in (big.tables(quality.MEMBER_KEYS), big.tables()))
+    assert sorted(narrow.collect()) == sorted(whole.collect())

@@ -46,6 +46,14 @@ def test_reports_run_on_the_published_star(star, published):
     assert rows(made) == rows(bi.top_customers(star.fact_sales, star.dim_customer, star.dim_source_system))
 
 
+def test_header_sales_and_narrow_members_of_the_published_star(star, published):
+    made = bi.source_system_comparison(published.header_sales, published.dim_source_system)
+    assert rows(made) == rows(bi.source_system_comparison(star.header_sales, star.dim_source_system))
+    narrow = published.tables({"DimCustomer": ("CustomerID",)})
+    assert narrow["DimCustomer"].columns == ["CustomerID"]
+    assert rows(narrow["DimProduct"]) == rows(star.dim_product)
+
+
 def test_filters_prune_sources_and_years(star, published):
     chosen = (["Northwind"], date(2016, 7, 4), date(2016, 12, 31))
     made = published.sales(*chosen)
