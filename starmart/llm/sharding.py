@@ -9,6 +9,10 @@ shard has room. So counts are at most one apart, and only what overflows moves.
 Only counts per cell go through the driver, CELLS at most. The walk over the ring
 turns them into intervals of ranks (within a cell) with a shard and a first slot,
 and these are broadcast: at most CELLS plus one per filled shard and cell.
+
+Rows of a cell are ranked in PARTS parts by a hash of the whole row, each from the
+number of rows in the parts before it, so a key that a third of all rows share is
+ranked by many tasks.
 """
 
 from __future__ import annotations
@@ -19,8 +23,12 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starmart.scratch import stored
+
 CELLS = 1 << 14
 VIRTUAL = 128
+#: Parts that the rows of a cell are ranked in.
+PARTS = 64
 
 
 def cell(key: Column) -> Column:
@@ -84,19 +92,29 @@ def shard_rows(docs: DataFrame, shards: int, key: str = "doc_id", virtual: int =
     No rows give no rows.
     """
     columns = [c for c in docs.columns if c not in ("shard", "slot")]
-    celled = docs.select(*columns, cell(F.col(key)).alias("ring_cell"))
-    counts = celled.groupBy("ring_cell").agg(F.count(F.lit(1)).alias("n")).collect()
+    part = F.pmod(F.xxhash64(*columns), F.lit(PARTS)).cast("int")
+    celled = docs.select(*columns, cell(F.col(key)).alias("ring_cell"), part.alias("ring_part"))
+    parts = stored(celled.groupBy("ring_cell", "ring_part").agg(F.count(F.lit(1)).alias("n")))
+    counts = parts.groupBy("ring_cell").agg(F.sum("n").alias("n")).collect()
     placed = list(walk({r["ring_cell"]: r["n"] for r in counts}, shards, virtual))
     fields = ["ring_of", "ring_from", "ring_to", "ring_shard", "ring_first"]
     plan = docs.sparkSession.createDataFrame(
         pd.DataFrame(placed, columns=fields).astype("int64"),
         ", ".join(f"{name} bigint" for name in fields),
     )
+    earlier = Window.partitionBy("ring_cell").orderBy("ring_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select(
+        "ring_cell", "ring_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ring_before")
+    )
     # Rows that differ in any column differ in the second hash, but for chance: then any order will do.
-    order = Window.partitionBy("ring_cell").orderBy(key, F.xxhash64(*columns))
+    order = Window.partitionBy("ring_cell", "ring_part").orderBy(key, F.xxhash64(*columns))
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    grouped = celled.groupBy("ring_cell", *columns).agg(F.count(F.lit(1)).alias("ring_n"))
-    ranked = grouped.withColumn("ring_rank", F.coalesce(F.sum("ring_n").over(before), F.lit(0)))
+    grouped = celled.groupBy("ring_cell", "ring_part", *columns).agg(F.count(F.lit(1)).alias("ring_n"))
+    within = grouped.withColumn("ring_within", F.coalesce(F.sum("ring_n").over(before), F.lit(0)))
+    # The window has dealt the rows out by cell and part: this join shuffles only the offsets.
+    ranked = within.join(offsets, ["ring_cell", "ring_part"]).withColumn(
+        "ring_rank", F.col("ring_before") + F.col("ring_within")
+    )
     meets = (
         (F.col("ring_cell") == F.col("ring_of"))
         & (F.col("ring_rank") < F.col("ring_to"))

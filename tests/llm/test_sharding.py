@@ -53,3 +53,15 @@ def test_only_overflow_moves():
     after = {(c, r): s for c, a, e, s, _ in sharding.walk(counts, 25) for r in range(a, e)}
     moved = sum(before[k] != after[k] for k in before)
     assert moved < n / 3
+
+
+def test_a_key_of_many_rows_is_ranked_in_parts(spark):
+    rows = [(None if i % 3 else i, f"t{i}") for i in range(6000)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    out = sharding.shard_rows(df, 5)
+    found = out.collect()
+    check(found, len(rows), 5)
+    assert Counter(r.text for r in found) == Counter(t for _, t in rows)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    windows = [x for x in plan.splitlines() if "Window [" in x and "ring_n" in x]
+    assert windows and all("[ring_cell" in x and ", ring_part" in x for x in windows)
