@@ -73,8 +73,8 @@ def mix(
 ) -> DataFrame:
     """The rows of ``docs``, each as often as drawn, with ``copy`` (from 1) and ``shuffle_key``.
 
-    Rows are dealt out by shuffle_key, so that every partition is a random part of
-    the whole, and are sorted by it within. Columns of those names are replaced.
+    Rows are dealt out by shuffle_key and the other columns, so that every partition
+    is a random part of the whole, and are sorted by shuffle_key within. Columns of those names are replaced.
 
     A null source is a source of its own, a null doc_id one id; rows with one id are
     drawn alike. The text plays no part. No rows give no rows.
@@ -98,4 +98,6 @@ def mix(
     keyed = copies.withColumn(
         "shuffle_key", _hashed(15, F.lit(f"order {seed}"), name, F.col("copy").cast("string"))
     )
-    return keyed.repartition("shuffle_key").sortWithinPartitions("shuffle_key", "doc_id", "copy")
+    # Rows of one id have the same keys; their other columns deal them out too, so no id is one task's.
+    spread = [c for c, kind in docs.select(*columns).dtypes if "map<" not in kind]
+    return keyed.repartition("shuffle_key", *spread).sortWithinPartitions("shuffle_key", "doc_id", "copy")

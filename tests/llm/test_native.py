@@ -83,6 +83,21 @@ def test_counts_are_the_inverted_poisson(spark):
     assert all(sorted(r.copy for r in found if r.doc_id == i) == list(range(1, copies[i] + 1)) for i in (1, 10, 20))
 
 
+def test_rows_without_an_id_are_dealt_out(spark):
+    df = spark.range(3000).selectExpr(
+        "cast(null as bigint) as doc_id", "concat('t', id) as text", "'s' as source", "map(1, id) as extra"
+    )
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        found = mixing.mix(df, epochs=3).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset(merging)
+    assert len(found) > 1
+    total = sum(r["count"] for r in found)
+    assert total == 3000 * round(total / 3000) and max(r["count"] for r in found) < total / 2
+
+
 def test_weights_large_rates_and_no_rows(spark):
     rows = [(1, "a", None, "x", 1), (2, "b", None, "y", 1), (None, None, None, None, None)] * 2
     df = spark.createDataFrame(rows, data.DOCUMENT)
