@@ -37,8 +37,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their sources ask for, shuffled."""
-    return mixing.mix(docs).select(docs.columns)
+    """Documents as often as the target weights of their sources ask for, shuffled; each text is drawn by itself."""
+    return mixing.mix(docs, by_text=True).select(docs.columns)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

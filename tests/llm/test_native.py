@@ -5,6 +5,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from starmart.llm import mixing, url_reputation
 from tests.llm import data
 
@@ -98,6 +99,33 @@ def test_rows_without_an_id_are_dealt_out(spark):
     assert total == 3000 * round(total / 3000) and max(r["count"] for r in found) < total / 2
 
 
+def test_rows_that_share_an_id_are_drawn_by_text_in_the_pipeline(spark):
+    rows = [(None, f"no id {i}", "en", "none", 1) for i in range(3000)]
+    rows += [(7, f"one id {i}", "en", "one", 1) for i in range(3000)] + [(7, None, "en", "one", 1)]
+    rows += [(100 + i, f"own {i}", "en", "own", 1) for i in range(3000)]
+    df = spark.createDataFrame(rows, data.DOCUMENT)
+    rate = {r.of_source: r.rate for r in mixing.rates(df).collect()}
+    found = corpus_pipeline.mix_sources(spark, df, "").collect()
+    share = Counter(r.source for r in found)
+    for source in ("none", "one", "own"):
+        mean = 3000 * rate[source]
+        assert abs(share[source] - mean) < 5 * math.sqrt(mean), source
+    copies = Counter(Counter(r.text for r in found if r.source == "none").values())
+    for k in (1, 2, 3):
+        chance = 3000 * math.exp(-rate["none"]) * rate["none"] ** k / math.factorial(k)
+        assert abs(copies[k] - chance) < 5 * math.sqrt(chance)
+    # Ids that one text has are drawn as in the SQL.
+    plain = Counter(r.doc_id for r in mixing.mix(df).collect() if r.source == "own")
+    assert Counter(r.doc_id for r in found if r.source == "own") == plain
+    # The draws are the same again, and where shared ids are joined by a shuffle.
+    limit, mixing.BROADCAST_IDS = mixing.BROADCAST_IDS, 0
+    try:
+        again = corpus_pipeline.mix_sources(spark, df, "").collect()
+    finally:
+        mixing.BROADCAST_IDS = limit
+    assert Counter(again) == Counter(found)
+
+
 def test_weights_large_rates_and_no_rows(spark):
     rows = [(1, "a", None, "x", 1), (2, "b", None, "y", 1), (None, None, None, None, None)] * 2
     df = spark.createDataFrame(rows, data.DOCUMENT)
