@@ -2,9 +2,9 @@
 
 The base patterns find assignments, access keys and long hex strings. The values
 of other long tokens are weighed corpus-wide: hashed, and counted by distinct
-repositories (documents) and owners (sources). A value that many owners have is a
-copied example; one that stays with few is likely live, and such tokens become
-spans of their own.
+repositories (different texts of a source) and owners (sources). A value that many
+owners have is a copied example; one that stays with few is likely live, in however
+many of their texts it is, and such tokens become spans of their own.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ KINDS = ("assign", "access", "hex", "opaque")
 #: Tokens that may be credentials of no known form: long, with letters of both cases and digits.
 OPAQUE = re.compile(r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}(?![A-Za-z0-9+/_=-])")
 LEAST_ENTROPY = 3.5
-#: A value in more owners than this, or in more repositories, is a copied example.
-MOST_OWNERS, MOST_REPOSITORIES = 2, 20
+#: A value in more owners than this is a copied example.
+MOST_OWNERS = 2
 SALTS = 16
 SLICE = 256
 
@@ -103,9 +103,7 @@ def _scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def scan(
-    docs: DataFrame, most_owners: int = MOST_OWNERS, most_repositories: int = MOST_REPOSITORIES
-) -> DataFrame:
+def scan(docs: DataFrame, most_owners: int = MOST_OWNERS) -> DataFrame:
     """Every secret of every row, as one row per row of ``docs``.
 
     ``docs`` has doc_id bigint, text string and source string, the owner; other
@@ -115,17 +113,17 @@ def scan(
     end exclusive. Base matches are all there, live or not; opaque tokens only if
     live.
 
-    A null text is an empty one. A null source counts as one owner of its own, a null
-    doc_id as one repository. Equal rows get equal results and count as one
-    repository. No value leaves the tasks, only its SHA-256.
+    A null text is an empty one. A null source counts as one owner of its own. Only
+    owners decide on ``live``; repositories are the different texts, summed over the
+    owners, whatever their ids. Equal rows get equal results. No value leaves the tasks, only its SHA-256.
     """
     text_hash = F.xxhash64(F.col("text").isNull(), "text").alias("text_hash")
     rows = stored(docs.select("doc_id", "source", text_hash, "text").mapInArrow(_scanned, _SCHEMA))
     uses = rows.select("doc_id", "source", "text_hash", F.explode("found").alias("use"))
     uses = uses.select("doc_id", "source", "text_hash", "use.*")
-    # One row per value and document, then per value and owner, each summed in the tasks first.
+    # One row per value and text, then per value and owner, each summed in the tasks first.
     per_owner = (
-        uses.select("value_hash", "source", "doc_id")
+        uses.select("value_hash", "source", "text_hash")
         .distinct()
         .groupBy("value_hash", "source")
         .agg(F.count(F.lit(1)).alias("n"))
@@ -138,8 +136,7 @@ def scan(
         .select("value_hash", "repositories", "owners", salts)
     )
     salted = uses.withColumn("salt", F.pmod(F.xxhash64("doc_id", "text_hash", "start"), F.lit(SALTS)).cast("int"))
-    live = (F.col("owners") <= most_owners) & (F.col("repositories") <= most_repositories)
-    weighed = salted.join(owned, ["value_hash", "salt"]).withColumn("live", live)
+    weighed = salted.join(owned, ["value_hash", "salt"]).withColumn("live", F.col("owners") <= most_owners)
     weighed = weighed.where("live or kind != 'opaque'")
     order = F.array_position(F.array(*map(F.lit, KINDS)), F.col("kind")).alias("rank")
     fields = ["start", order, "kind", "end", "value_hash", "repositories", "owners", "live"]

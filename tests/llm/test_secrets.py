@@ -65,6 +65,16 @@ def test_copied_base_secrets_stay_as_examples(spark):
         assert (r.n_assign, r.n_example, r.n_live, r.spans) == (1, 1, 0, "assign:0:24")
 
 
+def test_owners_decide_however_many_documents_they_have(spark):
+    rows = [(i, f"own {LIVE} {i}", "en", "hot", 0) for i in range(40)]
+    rows += [(100 + i, f"same {COPIED}", "en", f"s{i % 2}", 0) for i in range(60)]
+    for r in secrets.scan(spark.createDataFrame(rows, data.DOCUMENT)).collect():
+        (found,) = r.secrets
+        assert (found.kind, found.live, r.n_live, r.n_example) == ("opaque", True, 1, 0)
+        # Copies of one text are one repository of each owner.
+        assert (found.repositories, found.owners) == ((40, 1) if r.doc_id < 100 else (2, 2))
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], data.DOCUMENT)
     assert secrets.digest(secrets.scan(none)).count() == 0
