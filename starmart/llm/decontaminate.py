@@ -8,9 +8,14 @@ there; by the pigeonhole principle that is every item within RADIUS bits of the
 whole fingerprint. Candidates are verified by the exact weighted similarity, the
 sum of the lesser weights over the sum of the greater, on five-word shingles.
 
-At the threshold of 0.75 fingerprints differ in 22 of 128 bits on average, with a
-deviation of 4.3, so RADIUS = 44 leaves out one in some million windows there, and
-neighbouring windows are further chances. A window without a shared shingle has
+If nearly all shingles differ from each other, fingerprints at the threshold of 0.75
+differ in 22 of 128 bits on average, with a deviation of 4.3, so RADIUS = 44 leaves
+out one in some million windows there, and neighbouring windows are further chances.
+Where shingles repeat this does not hold, and hits are lost: an item of two shingles
+in equal weight misses 0.5 percent of windows at 0.81; one whose majority passes from
+one shingle to the other all of them, even at 0.96; and an item without repeats 97
+percent of windows at 0.75 in which one shingle stands 14 times for 14 of 98 others
+(each of 4000 random draws). A window without a shared shingle has
 similarity 0 and is not looked at.
 """
 
