@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from starmart.llm import mixing, url_reputation as url
+from starmart.llm import importance, interaction, mixing, url_reputation as url
 
 _SECOND = ", ".join(f"'{x}'" for x in url.SECOND_LEVEL)
 
@@ -117,4 +117,103 @@ SELECT doc_id, source, text, CAST(copy AS INTEGER) AS copy,
 FROM copies
 """
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+# The checksum of a word is worked out from its bytes, as there is no function for it.
+IMPORTANCE = f"""
+WITH crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END,
+        i) ORDER BY i) AS step
+    FROM range(256) t(i)),
+texts AS (
+    SELECT 'd' AS kind, row_number() OVER () AS nr, doc_id, text FROM documents
+    UNION ALL SELECT 'b', -row_number() OVER (), NULL, text FROM benchmark),
+listed AS (
+    SELECT kind, nr, unnest(regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'),
+        '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+    FROM texts),
+spelled AS (
+    SELECT word, hex(encode(word)) AS digits FROM (SELECT DISTINCT word FROM listed) w),
+summed AS (
+    SELECT word, xor(list_reduce(
+            list_transform(range(CAST(length(digits) / 2 AS BIGINT)),
+                lambda i: CAST('0x' || substr(digits, 2 * i + 1, 2) AS BIGINT)),
+            lambda c, x: xor(c >> 8, step[1 + xor(c & 255, x)]), 4294967295), 4294967295) % {importance.BUCKETS}
+        AS bucket
+    FROM spelled, crc_table),
+hashed AS (SELECT kind, nr, bucket FROM listed JOIN summed USING (word)),
+totals AS (
+    SELECT count(*) FILTER (kind = 'd') AS big_s, count(*) FILTER (kind = 'b') AS big_t FROM hashed),
+gains AS (
+    SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (big_s + {importance.BUCKETS})
+        / ((s + 1)::DOUBLE * (big_t + {importance.BUCKETS})))) AS BIGINT) AS gain
+    FROM (SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t
+          FROM hashed GROUP BY bucket) c, totals),
+weighed AS (
+    SELECT nr, count(*) AS n, CAST(floor(sum(gain)::DOUBLE / count(*)) AS BIGINT) AS weight
+    FROM hashed JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY nr),
+scored AS (
+    SELECT doc_id, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(
+            sha256('{importance.SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE)
+            / 4294967296))) AS BIGINT) AS score
+    FROM texts LEFT JOIN weighed USING (nr) WHERE kind = 'd'),
+ranked AS (
+    SELECT *, n_features >= {importance.LEAST_WORDS} AS fits,
+        row_number() OVER (PARTITION BY n_features >= {importance.LEAST_WORDS} ORDER BY score DESC, doc_id) AS place,
+        count(*) FILTER (n_features >= {importance.LEAST_WORDS}) OVER () AS fitting
+    FROM scored)
+SELECT doc_id, n_features, weight, score,
+    CASE WHEN fits AND place <= {importance.PERCENT} * fitting // 100 THEN place END AS rank
+FROM ranked
+"""
+
+AUDIT = f"""
+WITH docs AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t,
+        regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+    FROM documents),
+marks AS (
+    SELECT doc_id, max(quality = 1) AS good, max(toxic = 1) AS bad FROM labels
+    WHERE doc_id IS NOT NULL GROUP BY doc_id),
+failing AS (
+    SELECT doc_id, part,
+        CASE WHEN len(words) < {interaction.LEAST_WORDS} THEN 'A' ELSE '' END
+        || CASE WHEN 100 * len(list_distinct(words)) < {interaction.LEAST_DISTINCT} * len(words) THEN 'B' ELSE '' END
+        || CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > {interaction.MOST_CAPITALS} * length(t)
+            THEN 'C' ELSE '' END
+        || CASE WHEN regexp_matches(t, '{interaction.MARKS}') THEN 'D' ELSE '' END
+        || CASE WHEN min(doc_id) OVER (PARTITION BY t) < doc_id THEN 'E' ELSE '' END AS fails
+    FROM docs),
+grouped AS (
+    SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (bad) AS bad
+    FROM failing LEFT JOIN marks USING (doc_id) GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+    SELECT a.x || b.x || c.x || d.x || e.x AS filter_order
+    FROM letters a, letters b, letters c, letters d, letters e
+    WHERE a.x NOT IN (b.x, c.x, d.x, e.x) AND b.x NOT IN (c.x, d.x, e.x) AND c.x NOT IN (d.x, e.x) AND d.x <> e.x),
+removals AS (
+    SELECT part, fails, n, good, bad, filter_order,
+        list_min(list_transform(string_split(fails, ''), lambda f: instr(filter_order, f))) AS gone
+    FROM (SELECT * FROM grouped WHERE fails <> '') g, orders
+    UNION ALL SELECT part, fails, n, good, bad, filter_order, 99 FROM grouped, orders WHERE fails = ''),
+stepped AS (
+    SELECT part, filter_order, step, substr(filter_order, step, 1) AS letter, fails, n, good, bad, gone
+    FROM removals, (SELECT unnest(range(1, 6)) AS step) s),
+counted AS (
+    SELECT part, filter_order, CAST(step AS INTEGER) AS step, letter,
+        CAST(coalesce(sum(n) FILTER (gone > step), 0) AS BIGINT) AS kept,
+        CAST(coalesce(sum(n) FILTER (gone = step), 0) AS BIGINT) AS removed,
+        CAST(coalesce(sum(n) FILTER (gone < step AND contains(fails, letter)), 0) AS BIGINT) AS redundant,
+        CAST(coalesce(sum(n) FILTER (fails = letter), 0) AS BIGINT) AS unique_fails,
+        CAST(coalesce(sum(good) FILTER (gone = step), 0) AS BIGINT) AS good_lost,
+        CAST(coalesce(sum(bad) FILTER (gone = step), 0) AS BIGINT) AS toxic_lost
+    FROM stepped GROUP BY part, filter_order, step, letter)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM counted
+"""
+
 ORACLE = {"op4_url_reputation": URLS, "op7_top_k": TOP_K, "op8_poisson_mix": MIX}
+ORACLE |= {"op11_importance_sample": IMPORTANCE, "op12_filter_audit": AUDIT}

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.llm import (
     decontaminate,
+    importance,
+    interaction,
     language,
     line_dedup,
     mixing,
@@ -109,6 +111,16 @@ def near_duplicate_classes(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def importance_sample(spark: SparkSession, root: str) -> DataFrame:
+    docs = _table(spark, root, "documents").select("doc_id", "text")
+    drawn = importance.resample(docs, _table(spark, root, "benchmark"), with_text=False)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def filter_audit(spark: SparkSession, root: str) -> DataFrame:
+    return interaction.audit_documents(_table(spark, root, "documents"), _table(spark, root, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_runs": line_runs,
     "op2_secrets": secret_scan,
@@ -120,4 +132,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_poisson_mix": mixture,
     "op9_benchmark_hits": benchmark_hits,
     "op10_near_duplicates": near_duplicate_classes,
+    "op11_importance_sample": importance_sample,
+    "op12_filter_audit": filter_audit,
 }
