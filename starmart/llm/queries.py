@@ -17,6 +17,7 @@ from starmart.llm import (
     quality,
     secrets,
     sharding,
+    suffix_dedup,
     topk,
     url_reputation,
 )
@@ -121,6 +122,13 @@ def filter_audit(spark: SparkSession, root: str) -> DataFrame:
     return interaction.audit_documents(_table(spark, root, "documents"), _table(spark, root, "labels"))
 
 
+def repeated_bytes(spark: SparkSession, root: str) -> DataFrame:
+    docs = _table(spark, root, "documents").select("doc_id", "text")
+    cut = suffix_dedup.remove_repeated_bytes(docs)
+    digest = F.sha2("kept", 256).alias("kept_sha256")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_runs": line_runs,
     "op2_secrets": secret_scan,
@@ -134,4 +142,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_near_duplicates": near_duplicate_classes,
     "op11_importance_sample": importance_sample,
     "op12_filter_audit": filter_audit,
+    "op13_suffix_dedup": repeated_bytes,
 }
