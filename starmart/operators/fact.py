@@ -36,22 +36,27 @@ def _measured(types: dict[str, DataType]) -> tuple[Column, Column, Column]:
     return price, amount, surely_fits(sizes, [types[name] for name in inputs]) | exact
 
 
-def staged_sales(source: Source) -> DataFrame:
+def staged_sales(source: Source, how: str = "inner") -> DataFrame:
     """Joined lines of one source: the fact columns next to the values they came from.
 
+    With ``how`` "left" lines that find no header or customer are there too, their
+    ``Matched`` is false.
+
     Unusable dates and measures are NULL here; ``Usable`` tells whether both
     measures have a value. The quality operators read the raw columns, the fact
     leaves them out and they are pruned from the scan.
     """
     spec = source.spec
-    df, types = spec.sales(source.raw).evaluated()
+    df, types = spec.sales(source.raw, how).evaluated()
 
     def key(target: str) -> Column:
         return canonical_key(spec.prefix, F.col(target), types[target]).alias(target)
 
     units = F.col("Quantity")
     price, amount, usable = _measured(types)
+    matched = ["Matched"] if how == "left" else []
     return df.select(
+        *matched,
         "LineKey",
         F.col("OrderDate").cast("string").alias("RawDate"),
         units.cast("string").alias("RawQuantity"),

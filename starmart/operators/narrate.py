@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import os.path
+
+from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.operators.joins import lookup
 from starmart.schema import FACT_SALES
-from starmart.scratch import stored
 
 
 #: What the sentences read of the members.
@@ -79,22 +80,53 @@ def describe_fact_rows(
     return rows.select(*FACT_SALES.names, sentence.alias("Sentence"))
 
 
-def nth_fact_row(fact: DataFrame, n: int) -> DataFrame:
+#: Rows that may be put in order by one task.
+FEW = 10_000
+#: Groups counted at once.
+CELLS = 2_000
+
+
+def _cells(column: str, low: object, high: object) -> Column:
+    """Cells of a column between two bounds, in its order and not too many."""
+    if isinstance(low, str):
+        return F.substring(column, 1, len(os.path.commonprefix([low, high])) + 2)
+    if high - low < CELLS:
+        return F.col(column)
+    return F.floor((F.col(column) - F.lit(low)) / F.lit((high - low) // CELLS + 1))
+
+
+def nth_fact_row(fact: DataFrame, n: int, few: int = FEW) -> DataFrame:
     """One row of the (filtered) fact by position, counted from 0 in the order of all columns.
 
-    The rows are sorted by range, and only counts per range come to the driver:
-    they tell which range holds the row, and its place in there is found by that
-    range's task. No task holds more than its own range, wherever n lies.
+    Rows are counted by the leading column's values, then only those with the value
+    that holds the position are counted by the next column, and so on, until ``few``
+    rows are left to be put in order. Nothing is sorted but these, and nothing is
+    written: what comes to the driver are counts, per day (bounded by the calendar),
+    per two more letters of a text, or per CELLS parts of a range of numbers. A
+    position beyond the last row gives no row.
     """
-    ranges = stored(
-        fact.orderBy(*FACT_SALES.names).withColumn("__id", F.monotonically_increasing_id())
-    )
-    # The id counts the rows of a task; the task's number is in the bits above.
-    task = F.shiftright("__id", 33)
-    sizes = ranges.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n")).orderBy("task").collect()
-    for task_number, size in sizes:
-        if n < size:
-            row = ranges.where(F.col("__id") == (task_number << 33) + n)
-            return row.select(*FACT_SALES.names)
-        n -= size
-    return ranges.limit(0).select(*FACT_SALES.names)
+    rows = fact
+    for column in FACT_SALES.names:
+        at = F.col(column)
+        cells = at if column == "DateKey" else at.isNull()
+        while True:
+            counted = (
+                rows.groupBy(cells.alias("cell"))
+                .agg(F.count(F.lit(1)).alias("n"), F.min(at).alias("low"), F.max(at).alias("high"))
+                .collect()
+            )
+            for cell in sorted(counted, key=lambda r: (r.low is not None, r.low)):
+                if n < cell.n:
+                    break
+                n -= cell.n
+            else:
+                return fact.limit(0)
+            inside = at.isNull() if cell.low is None else (at >= F.lit(cell.low)) & (at <= F.lit(cell.high))
+            rows = rows.where(inside)
+            if cell.n <= few:
+                return rows.orderBy(*FACT_SALES.names).offset(n).limit(1)
+            if cell.low == cell.high:
+                break
+            cells = _cells(column, cell.low, cell.high)
+    # All that are left are equal.
+    return rows.limit(1)

@@ -173,6 +173,21 @@ def triage(source: Source) -> DataFrame:
     return staged_sales(source).withColumns({"Status": status, "Reason": reason})
 
 
+def delivered_lines(source: Source) -> DataFrame:
+    """Every delivered line with its fact columns, ``Status`` and ``Reason``: one join for all that becomes of lines.
+
+    Status: loaded, rejected (a measure is no number) or lost (no header, or no
+    customer). Raw values are kept of lines that are not loaded. A line that finds
+    several headers is as many rows, as in the fact.
+    """
+    status = F.when(~F.col("Matched"), "lost").when(F.col("Usable"), "loaded").otherwise("rejected")
+    reason = F.when(~F.col("Matched"), "no header or customer").when(~F.col("Usable"), measure_fault())
+    staged = staged_sales(source, "left").withColumns({"Status": status, "Reason": reason})
+    loaded = F.col("Status") == "loaded"
+    raw = [F.when(~loaded, F.col(c)).alias(c) for c in ("LineKey", "RawDate", "RawQuantity", "RawPrice")]
+    return staged.select(*STAR_TABLES["FactSales"].names, "Status", "Reason", *raw)
+
+
 def quarantine(source: Source) -> tuple[DataFrame, DataFrame]:
     """The lines that load, and the lines that cannot with their raw values and reason."""
     lines = triage(source)

@@ -8,9 +8,11 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import DateType, DecimalType
 
+from starmart import files
 from starmart.functions import canonical_key, line_amount, person_name, quantity
 from starmart.operators import acceptance, bi, filters, hierarchy, narrate, profile, quality
-from starmart.plans.publish import PublishedStar, publish
+from starmart.plans.release import ReleasedStar, release
+from starmart.plans.stability import key_changes, stability, store_keys
 from starmart.plans.star import Star
 from starmart.scratch import new_folder, stored
 from starmart.sources import testdata
@@ -158,13 +160,43 @@ def _key_usage(star: Star) -> DataFrame:
 
 
 def _third_source(spark: SparkSession, root: str) -> DataFrame:
-    """Two systems are published, a third is added, and what is stored is compared."""
+    """Two systems are released, a third is added, and what is stored is compared."""
     path = new_folder(spark)
-    publish(_star(spark, root), path)
-    before = stored(quality.fingerprint(PublishedStar(spark, path).fact_sales))
-    publish(_star(spark, root, SIGNUPS), path)
-    after = PublishedStar(spark, path)
-    return presented(quality.history_check(before, after.fact_sales, after.dim_source_system))
+    release(spark, _star(spark, root).sources, path)
+    before = quality.fingerprint(ReleasedStar(spark, path).fact_sales)
+    release(spark, _star(spark, root, SIGNUPS).sources, path)
+    after = ReleasedStar(spark, path)
+    made = stored(presented(quality.history_check(before, after.fact_sales, after.dim_source_system)))
+    files.delete(spark, path)
+    return made
+
+
+def _staged_load(spark: SparkSession, root: str) -> DataFrame:
+    """Three systems are released; their lines as observed while written, next to what is stored."""
+    path = new_folder(spark)
+    release(spark, _star(spark, root, ORDERS, EVENTS, INTAKE).sources, path)
+    loaded = ReleasedStar(spark, path)
+    counts = ("SourceLines", "LostInJoins", "Rejected", "FactRows")
+    ids = ("SourceSystemID", "SourceSystemName")
+    seen = loaded.observed_volume().select(*ids, *[F.col(c).alias(f"Observed{c}") for c in counts])
+    made = stored(loaded.stored_volume().join(F.broadcast(seen), list(ids)))
+    files.delete(spark, path)
+    return made
+
+
+def _two_loads(compare: Callable[[SparkSession, str, str], DataFrame]) -> Query:
+    """A comparison of the ids of two stored loads of ORDERS."""
+
+    def run(spark: SparkSession, root: str) -> DataFrame:
+        (source,) = testdata.sources(spark, root, ORDERS)
+        path = new_folder(spark)
+        store_keys(source, f"{path}/a")
+        store_keys(Source(source.spec, testdata.next_load(source.raw)), f"{path}/b")
+        made = stored(compare(spark, f"{path}/a", f"{path}/b"))
+        files.delete(spark, path)
+        return made
+
+    return run
 
 
 def _pk_uniqueness(star: Star) -> DataFrame:
@@ -285,6 +317,9 @@ QUERIES: dict[str, Query] = {
     ),
     "dq_violations": _each_source(quality.violations),
     "third_source": _third_source,
+    "staged_load": _staged_load,
+    "key_stability": _two_loads(stability),
+    "key_changes": _two_loads(key_changes),
     "source_volume": _on_star(lambda s: quality.source_volume(s.sources), ORDERS, EVENTS, INTAKE),
     # profile
     "table_inventory": _on_star(lambda s: profile.table_inventory(s.sources)),

@@ -247,6 +247,37 @@ PRIMARY_KEYS = {
 }
 
 
+# Both loads of ORDERS: ids with what they stand for, and what became of them.
+KEY_LOADS = """
+before AS (
+  SELECT 'DimCustomer' AS Dimension, 'ORDERS:' || c_custkey AS k, c_name AS who FROM customer
+  UNION ALL SELECT 'DimEmployee', 'ORDERS:' || s_suppkey, s_name FROM supplier
+  UNION ALL SELECT 'DimProduct', 'ORDERS:' || p_partkey, p_name || chr(31) || p_type FROM part),
+later AS (
+  SELECT 'DimCustomer' AS Dimension,
+    'ORDERS:' || (c_custkey + CASE WHEN c_custkey % 89 = 0 THEN 10000000 ELSE 0 END) AS k,
+    c_name || CASE WHEN c_custkey % 79 = 0 THEN ' (new owner)' ELSE '' END AS who FROM customer WHERE c_custkey % 97 <> 0
+  UNION ALL SELECT 'DimCustomer', 'ORDERS:' || (c_custkey + 20000000), c_name || ' (branch)' FROM customer WHERE c_custkey % 83 = 0
+  UNION ALL SELECT 'DimEmployee', 'ORDERS:' || s_suppkey, s_name FROM supplier
+  UNION ALL SELECT 'DimProduct', 'ORDERS:' || (p_partkey + CASE WHEN p_partkey % 91 = 0 THEN 10000000 ELSE 0 END),
+    p_name || chr(31) || p_type FROM part),
+moved AS (
+  SELECT Dimension, k, coalesce(b.who, l.who) AS who,
+    CASE WHEN b.who IS NULL THEN 'added' WHEN l.who IS NULL THEN 'gone'
+         WHEN b.who <> l.who THEN 'reassigned' ELSE 'stable' END AS Change
+  FROM before b FULL JOIN later l USING (Dimension, k)),
+pairs AS (
+  SELECT Dimension, who, min(k) FILTER (Change = 'gone') AS OldKey, min(k) FILTER (Change = 'added') AS NewKey
+  FROM moved WHERE Change IN ('gone', 'added') GROUP BY Dimension, who
+  HAVING count(*) FILTER (Change = 'gone') = 1 AND count(*) FILTER (Change = 'added') = 1),
+changes AS (
+  SELECT Dimension, 'renamed' AS Change, OldKey, NewKey FROM pairs
+  UNION ALL
+  SELECT Dimension, Change, CASE WHEN Change <> 'added' THEN k END, CASE WHEN Change <> 'gone' THEN k END
+  FROM moved m WHERE Change <> 'stable' AND NOT EXISTS (
+    SELECT 1 FROM pairs p WHERE p.Dimension = m.Dimension AND m.Change <> 'reassigned' AND p.who = m.who))"""
+
+
 def _with(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
@@ -620,6 +651,30 @@ ORACLE: dict[str, str] = {
         UNION ALL SELECT 4, 'Intake', (SELECT count(*) FROM events), (SELECT count(*) FROM events))
       SELECT SourceSystemID, name AS SourceSystemName, delivered AS SourceLines, delivered - joined AS LostInJoins,
         joined - n AS Rejected, n AS FactRows FROM raw JOIN f USING (SourceSystemID)""",
+    "key_changes": _with(KEY_LOADS) + "SELECT * FROM changes",
+    "key_stability": _with(KEY_LOADS)
+    + """, sizes AS (
+        SELECT Dimension, count(*) FILTER (side = 'b') AS KeysBefore, count(*) FILTER (side = 'l') AS KeysAfter
+        FROM (SELECT Dimension, 'b' AS side FROM before UNION ALL SELECT Dimension, 'l' FROM later) s GROUP BY 1),
+      kinds AS (
+        SELECT Dimension, count(*) FILTER (Change = 'added') AS Added, count(*) FILTER (Change = 'gone') AS Gone,
+          count(*) FILTER (Change = 'renamed') AS Renamed, count(*) FILTER (Change = 'reassigned') AS Reassigned
+        FROM changes GROUP BY 1)
+      SELECT Dimension, KeysBefore, KeysAfter, coalesce(Added, 0) AS Added, coalesce(Gone, 0) AS Gone,
+        coalesce(Renamed, 0) AS Renamed, coalesce(Reassigned, 0) AS Reassigned,
+        KeysBefore - coalesce(Gone + Renamed + Reassigned, 0) AS Stable
+      FROM sizes LEFT JOIN kinds USING (Dimension)""",
+    "staged_load": _with(FACT, INTAKE)
+    + """, f AS (SELECT SourceSystemID, count(*) AS n FROM fact4 GROUP BY 1),
+      raw AS (SELECT 1 AS SourceSystemID, 'Orders' AS name, (SELECT count(*) FROM lineitem) AS delivered,
+                (SELECT count(*) FROM lineitem JOIN orders ON l_orderkey = o_orderkey) AS joined
+        UNION ALL SELECT 2, 'Events', (SELECT count(*) FROM events WHERE event_type = 'purchase'),
+                (SELECT count(*) FROM events JOIN customer ON user_id = c_custkey WHERE event_type = 'purchase')
+        UNION ALL SELECT 4, 'Intake', (SELECT count(*) FROM events), (SELECT count(*) FROM events)),
+      v AS (SELECT SourceSystemID, name AS SourceSystemName, delivered AS SourceLines, delivered - joined AS LostInJoins,
+        joined - n AS Rejected, n AS FactRows FROM raw JOIN f USING (SourceSystemID))
+      SELECT *, SourceLines AS ObservedSourceLines, LostInJoins AS ObservedLostInJoins,
+        Rejected AS ObservedRejected, FactRows AS ObservedFactRows FROM v""",
     "table_inventory": _inventory(),
     "source_inventory": _source_inventory(),
     "profile_columns": _profile(),

@@ -84,18 +84,19 @@ def _lines(raw: RawZone) -> DataFrame:
     return raw.table("InvoiceLine")
 
 
-def _sales(raw: RawZone) -> Mapped:
+def _sales(raw: RawZone, how: str = "inner") -> Mapped:
     line, invoice, customer = (
         raw.table("InvoiceLine").alias("l"),
         with_date_key(raw.table("Invoice"), "InvoiceDate").alias("h"),
         raw.table("Customer").alias("c"),
     )
-    rows = line.join(invoice, F.col("l.InvoiceId") == F.col("h.InvoiceId")).join(
-        customer, F.col("h.CustomerId") == F.col("c.CustomerId")
+    rows = line.join(invoice, F.col("l.InvoiceId") == F.col("h.InvoiceId"), how).join(
+        customer, F.col("h.CustomerId") == F.col("c.CustomerId"), how
     )
     return Mapped(
         rows,
         {
+            "Matched": F.col("c.CustomerId").isNotNull(),
             "LineKey": F.col("l.InvoiceLineId").cast("string"),
             "OrderDate": F.col("h.InvoiceDate"),
             "DateKey": F.col("h.DateKey"),

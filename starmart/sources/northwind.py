@@ -92,12 +92,13 @@ def _lines(raw: RawZone) -> DataFrame:
     return raw.table("Order Details")
 
 
-def _sales(raw: RawZone) -> Mapped:
+def _sales(raw: RawZone, how: str = "inner") -> Mapped:
     line = raw.table("Order Details").alias("l")
     order = with_date_key(raw.table("Orders"), "OrderDate").alias("h")
     return Mapped(
-        line.join(order, F.col("l.OrderID") == F.col("h.OrderID")),
+        line.join(order, F.col("l.OrderID") == F.col("h.OrderID"), how),
         {
+            "Matched": F.col("h.OrderID").isNotNull(),
             "LineKey": line_key("l.OrderID", "l.ProductID"),
             "OrderDate": F.col("h.OrderDate"),
             "DateKey": F.col("h.DateKey"),

@@ -90,7 +90,8 @@ class SourceSpec:
     ``customers``, ``employees`` and ``products`` map to the dimension's
     attributes with *native* ids; prefixes are added by the builders, so that
     dimension and fact cannot differ. ``dates`` maps headers to ``OrderDate``.
-    ``sales`` maps joined lines to ``LineKey``, ``OrderDate`` as delivered, its
+    ``sales`` maps joined lines to ``Matched`` (header and customer were found: always so
+    in the inner join, for its second argument "left" all lines are kept), ``LineKey``, ``OrderDate`` as delivered, its
     ``DateKey`` (see ``with_date_key``), ``CustomerID``, ``EmployeeID``,
     ``ProductID``, ``Quantity`` and ``UnitPrice``, or ``Amount`` where the source
     stores the amount of the line. ``header_sales`` gives the same lines and headers
@@ -105,7 +106,7 @@ class SourceSpec:
     employees: Callable[[RawZone], Mapped]
     products: Callable[[RawZone], Mapped]
     dates: Callable[[RawZone], Mapped]
-    sales: Callable[[RawZone], Mapped]
+    sales: Callable[..., Mapped]
     lines: Callable[[RawZone], DataFrame]
     line_key: tuple[str, ...]
     header_sales: Callable[[RawZone], HeaderSales] | None = None

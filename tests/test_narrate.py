@@ -1,6 +1,15 @@
+import random
+from decimal import Decimal
+
+import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from starmart.operators.narrate import describe_fact_rows, nth_fact_row
+from starmart.schema import FACT_SALES
+
+#: The fact's columns, all of which may be NULL.
+FACT_SALES_LAX = StructType([StructField(f.name, f.dataType) for f in FACT_SALES.fields])
 
 
 def narrate(star, fact):
@@ -60,3 +69,32 @@ def test_nth_row(star):
     assert nth_fact_row(star.fact_sales, 0).collect() == [ordered[0]]
     assert nth_fact_row(star.fact_sales, 7).collect() == [ordered[7]]
     assert nth_fact_row(star.fact_sales, 10).collect() == []
+
+
+@pytest.mark.parametrize("few", [1, 4])
+def test_nth_row_is_found_by_counts_of_every_column(spark, few):
+    """Ties in the leading columns, NULLs, texts with a common start and equal rows."""
+    rng = random.Random(few)
+    rows = [
+        (
+            rng.choice((None, 20200101, 20200102)),
+            rng.choice((None, "A:1", "A:10", "A:2é", "A:2\U0001f600", f"A:{rng.randrange(5000)}")),
+            rng.choice((None, "A:7")),
+            rng.choice(("P:1", "P:", "P:11")),
+            rng.choice((1, 2)),
+            rng.choice((1, -5, 10**12)),
+            Decimal(rng.choice((0, 1, 99999))) / 100,
+        )
+        for _ in range(300)
+    ]
+    rows += [rows[0]] * 20
+    fact = spark.createDataFrame(rows, FACT_SALES_LAX)
+    ordered = fact.orderBy(*fact.columns).collect()
+    for n in [0, 1, 17, 150, 299, 319, *rng.sample(range(320), 6)]:
+        assert nth_fact_row(fact, n, few).collect() == [ordered[n]]
+    assert nth_fact_row(fact, 320, few).collect() == []
+
+
+def test_nth_row_is_found_without_a_sort_of_the_fact(star):
+    plan = nth_fact_row(star.fact_sales, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan and "TakeOrderedAndProject" in plan
