@@ -41,9 +41,9 @@ LEAST = 200
 #: Different segments of one anchor that go into one shard.
 MOST = 8192
 #: Bytes of segments in one suffix array, or one anchor's if those are more.
-BLOCK = 2 << 20
-#: Bytes of texts hashed at once.
-PIECE = 4 << 20
+BLOCK = 1 << 19
+#: Bytes of texts hashed at once: the arrays of a piece fit into a cache.
+PIECE = 1 << 17
 #: Bytes of segments that a task of the shards takes, about.
 TASK = 8 << 20
 #: Bytes of segments handed on at once.
@@ -51,6 +51,7 @@ ROWS = 1 << 20
 
 _PLACE = np.uint64((1 << 24) - 1)
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
+_BYTES = mix(np.arange(1, 257, dtype=np.uint64))
 _SPAN = "struct<from:int,until:int>"
 
 
@@ -62,7 +63,7 @@ def gram_of(least: int) -> int:
 def _anchors(data: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
     """The hash of each run of bytes, and the place of each window's anchor."""
     gram = gram_of(least)
-    hashes = mix(data.astype(np.uint64) + np.uint64(1))
+    hashes = _BYTES[data]
     step = 1
     while step < gram:
         hashes = hashes[:-step] * _FACTOR + hashes[step:]
