@@ -33,6 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.llm.components import redealt
+from starmart.llm.rows import others, packed
 from starmart.llm.suffix_array import repeated_windows, suffix_array
 from starmart.llm.words import mix
 from starmart.scratch import discard, stored
@@ -363,13 +364,12 @@ def remove_repeated_bytes(docs: DataFrame, least: int = LEAST, most: int = MOST,
     one row, at most one per byte, and it is cut in one task. No rows give no rows.
     """
     made = ("kept", "n_bytes", "n_removed", "n_spans")
-    text = F.coalesce(docs["text"], F.lit("")).cast("binary")
-    keyed = docs.select(
-        F.struct(*[docs[c] for c in docs.columns if c not in made]).alias("row"),
-        F.xxhash64(text).alias("text_key"),
-        text.alias("text"),
-    )
-    spans = repeated_spans(keyed.select("text_key", "text"), least, most, block)
-    out = keyed.join(spans, "text_key", "left").withColumn("cut", cut_out(F.col("text"), F.col("spans")))
-    columns = [F.col("row")[c].alias(c) for c in docs.columns if c not in made]
-    return out.select(*columns, *[F.col("cut")[c].alias(c) for c in made])
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    columns = others(docs.columns, *made)
+    # The text travels once, beside the other columns.
+    rest = [c for c in columns if c != "text"]
+    keyed = docs.select(packed(rest), F.xxhash64(text).alias("text_key"), "text")
+    spans = repeated_spans(keyed.select("text_key", text.alias("text")), least, most, block)
+    out = keyed.join(spans, "text_key", "left").withColumn("cut", cut_out(text, F.col("spans")))
+    back = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in columns]
+    return out.select(*back, "cut.*")
