@@ -27,7 +27,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from starmart.scratch import discard, stored
+from starmart.llm.rows import others, packed
+from starmart.scratch import stored
 
 BUCKETS = 10_000
 LONGEST = 1
@@ -196,13 +197,13 @@ def resample(
     corpus, wanted = bucket_counts(docs, n, buckets), bucket_counts(target, n, buckets)
     gain = gains(corpus, wanted)
     made = ("n_features", "weight", "score", "rank")
-    kept = [c for c in docs.columns if c not in made and (with_text or c != "text")]
+    kept = others(docs.columns, *made) if with_text else others(docs.columns, *made, "text")
     scored = stored(
         docs.select(
-            F.struct(*[docs[c] for c in kept]).alias("row"),
-            docs["doc_id"].alias("id"),
-            weigh(docs["text"], gain, n).alias("w"),
-            gumbel(docs["doc_id"], seed).alias("noise"),
+            packed(kept),
+            F.col("doc_id").alias("id"),
+            weigh(F.col("text"), gain, n).alias("w"),
+            gumbel(F.col("doc_id"), seed).alias("noise"),
         ).select(
             "row",
             "id",
@@ -213,7 +214,7 @@ def resample(
         ).toDF("row", "id", "fits", "n_features", "weight", "score")
     )
     size = scored.where("fits").count() * percent // 100
-    columns = [*[F.col("row")[c].alias(c) for c in kept], "n_features", "weight", "score"]
+    columns = ["row.*", "n_features", "weight", "score"]
     none = F.lit(None).cast("bigint").alias("rank")
     if not size:
         return scored.select(*columns, none)

@@ -11,7 +11,7 @@ duckdb = pytest.importorskip("duckdb")
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_equals_sql(spark, name):
     connection = duckdb.connect()
-    for table in ("documents", "pages", "labels", "embeddings"):
+    for table in ("documents", "pages", "labels", "embeddings", "benchmark"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM '{ROOT}/{table}.parquet'")
     df = QUERIES[name](spark, ROOT)
     columns = sorted(df.columns)
