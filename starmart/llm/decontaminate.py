@@ -8,15 +8,15 @@ there; by the pigeonhole principle that is every item within RADIUS bits of the
 whole fingerprint. Candidates are verified by the exact weighted similarity, the
 sum of the lesser weights over the sum of the greater, on five-word shingles.
 
-If nearly all shingles differ from each other, fingerprints at the threshold of 0.75
-differ in 22 of 128 bits on average, with a deviation of 4.3, so RADIUS = 44 leaves
-out one in some million windows there, and neighbouring windows are further chances.
-Where shingles repeat this does not hold, and hits are lost: an item of two shingles
-in equal weight misses 0.5 percent of windows at 0.81; one whose majority passes from
-one shingle to the other all of them, even at 0.96; and an item without repeats 97
-percent of windows at 0.75 in which one shingle stands 14 times for 14 of 98 others
-(each of 4000 random draws). A window without a shared shingle has
-similarity 0 and is not looked at.
+If all shingles differ from each other, fingerprints at the threshold of 0.75 differ
+in 22 of 128 bits on average, with a deviation of 4.3, so RADIUS = 44 leaves out one
+in some million windows there, and neighbouring windows are further chances. Where a
+shingle repeats, in the item or the window, one shingle can decide many bits, and a
+fingerprint says little. Such pairs are not asked for by fingerprint: all items are
+taken whose shingles, as often as they stand in the document, could reach the
+threshold at all, and of these all windows with enough places that hold one of the
+item's shingles. Both bounds are exact, so no such hit is lost. A window without a
+shared shingle has similarity 0 and is not looked at.
 """
 
 from __future__ import annotations
@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from starmart.llm import words
+from starmart.llm.rows import packed
 
 BITS = 128
 RADIUS = 44
@@ -74,11 +75,35 @@ class Length:
     sets: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
     prints: list[np.ndarray] = field(default_factory=list)
     near: np.ndarray | None = None
+    #: Which items have a shingle twice or more.
+    repeats: np.ndarray | None = None
+    #: The items' shingles, ascending, with the item and the weight of each.
+    entries: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def index(self) -> None:
-        """For each block and value of it, the items that are near."""
+        """For each block and value of it, the items that are near; for each shingle, its items."""
         every = np.stack(self.prints)
         self.near = np.stack([_NEAR[:, every[:, b]] for b in range(_BLOCKS)])
+        self.repeats = np.array([bool((counts > 1).any()) for _, counts in self.sets])
+        values = np.concatenate([v for v, _ in self.sets])
+        order = np.argsort(values, kind="stable")
+        owner = np.repeat(np.arange(len(self.sets)), [len(v) for v, _ in self.sets])
+        self.entries = values[order], owner[order], np.concatenate([c for _, c in self.sets])[order]
+
+    def within_reach(self, every: np.ndarray, width: int) -> np.ndarray:
+        """Items that some window of ``width`` shingles of a document could match, by their weights in all of it."""
+        values, owner, weight = self.entries
+        own, counts = np.unique(every, return_counts=True)
+        first = np.searchsorted(values, own, side="left")
+        sizes = np.searchsorted(values, own, side="right") - first
+        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        common = np.minimum(weight[at], np.repeat(counts, sizes))
+        return np.flatnonzero(np.bincount(owner[at], common, len(self.sets)) >= self.least_common(width))
+
+    def least_common(self, width: int) -> float:
+        """What a window and an item must share for THRESHOLD; a little less, for rounding."""
+        size = self.words - self.shingle + 1
+        return THRESHOLD / (1 + THRESHOLD) * (width + size) - 1e-6
 
     def candidates(self, prints: np.ndarray) -> Iterator[tuple[int, int]]:
         """(window, item) within RADIUS bits, by window."""
@@ -157,6 +182,31 @@ def _touched(index: Index, shingle: int, every: np.ndarray) -> dict[int, np.ndar
     return {int(p): at[places[entry] == p] for p in np.unique(places[entry])}
 
 
+def _repeating(every: np.ndarray, width: int) -> np.ndarray:
+    """For each window of some shingles whether one stands in it twice or more."""
+    order = np.argsort(every, kind="stable")
+    again = np.flatnonzero(every[order[1:]] == every[order[:-1]])
+    before = np.full(len(every), -1, dtype=np.int64)
+    before[order[again + 1]] = order[again]
+    latest = np.maximum.accumulate(before)
+    return latest[width - 1 :] >= np.arange(len(every) - width + 1)
+
+
+def _exact_pairs(here: Length, every: np.ndarray, width: int, repeating: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(window, item) that could match, of those where the window or the item repeats a shingle."""
+    if not (repeating.any() or here.repeats.any()):
+        return
+    for item in here.within_reach(every, width).tolist():
+        values = here.sets[item][0]
+        place = np.minimum(np.searchsorted(values, every), len(values) - 1)
+        held = np.concatenate([[0], np.cumsum(values[place] == every)])
+        enough = held[width:] - held[:-width] >= here.least_common(width)
+        if not here.repeats[item]:
+            enough &= repeating
+        for start in np.flatnonzero(enough).tolist():
+            yield start, item
+
+
 def matches(index: Index, hashes: np.ndarray) -> list[tuple[int, float, int, int]]:
     """(item, similarity, first word, windows) of the items found in a document.
 
@@ -176,17 +226,27 @@ def matches(index: Index, hashes: np.ndarray) -> list[tuple[int, float, int, int
             if not len(starts):
                 continue
             best: dict[int, list] = {}
+
+            def judge(start: int, item: int) -> None:
+                value = similarity(_weighted(every[start : start + width]), here.sets[item])
+                if value >= THRESHOLD:
+                    known = best.setdefault(here.ids[item], [value, start, 0])
+                    known[2] += 1
+                    if (value, -start) > (known[0], -known[1]):
+                        known[:2] = value, start
+
+            repeating = _repeating(every, width)
+            for start, item in _exact_pairs(here, every, width, repeating):
+                judge(start, item)
+            starts = starts[~repeating[starts]]
             for some in np.split(starts, np.flatnonzero(np.diff(starts // SPAN)) + 1):
+                if not len(some):
+                    continue
                 low = some[0]
                 prints = fingerprints(every[low : some[-1] + width], some - low, width)
                 for window, item in here.candidates(prints):
-                    start = int(some[window])
-                    value = similarity(_weighted(every[start : start + width]), here.sets[item])
-                    if value >= THRESHOLD:
-                        known = best.setdefault(here.ids[item], [value, start, 0])
-                        known[2] += 1
-                        if value > known[0]:
-                            known[:2] = value, start
+                    if not here.repeats[item]:
+                        judge(int(some[window]), item)
             found += [(item, *values) for item, values in best.items()]
     return found
 
@@ -198,7 +258,8 @@ def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     string; other columns are not read. One row per row of ``docs`` and item with a
     window at THRESHOLD or above; of equally good windows the first counts.
 
-    Null texts and texts without words match nothing. An item of fewer than five
+    Null texts and texts without words match nothing. Of a very long text all windows
+    are looked at, SPAN places at once, in one task. An item of fewer than five
     words is one shingle. Items that share an id are one item. Ids may be null. A
     benchmark of any size is split into parts of about PART items, and only one part
     at a time is sent to the tasks.
@@ -244,9 +305,10 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose text holds no item; the columns are those of ``docs``.
 
     A row is left out by its own text: rows that share its id, or have none, are
-    judged by theirs.
+    judged by theirs. Columns may have any names.
     """
-    text_hash = F.xxhash64(F.col("text").isNull(), "text")
+    text_hash = F.xxhash64(docs["text"].isNull(), docs["text"]).alias("text_hash")
     keyed = docs.select(text_hash.alias("doc_id"), "text")
-    bad = contaminations(keyed, benchmark).select(F.col("doc_id").alias("bad_hash")).distinct()
-    return docs.join(bad, text_hash == F.col("bad_hash"), "left_anti")
+    bad = contaminations(keyed, benchmark).select(F.col("doc_id").alias("text_hash")).distinct()
+    rows = docs.select(packed(docs.columns), text_hash)
+    return rows.join(bad, "text_hash", "left_anti").select("row.*")

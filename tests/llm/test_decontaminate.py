@@ -54,12 +54,72 @@ def test_hits_are_those_of_all_windows(spark):
                 expected[d, i] = value
     assert found.keys() == expected.keys()
     assert all(abs(found[k] - expected[k]) < 1e-9 for k in found)
-    clean = dc.without_contaminated(docs, bench)
-    assert clean.columns == docs.columns
-    left = {r.doc_id for r in clean.collect()}
+    odd = data.with_clashes(docs, "row", "text_hash", "bad_hash", "item_id")
+    clean = dc.without_contaminated(odd, bench)
+    assert clean.columns == odd.columns
+    left = {r.doc_id for r in clean.collect() if r.row == "row" and r.bad_hash == "bad_hash"}
     assert left == set(range(len(texts))) - {d for d, _ in expected}
 
 
+def repeated_cases(rng):
+    """Pairs (text, item) at or near the threshold in which shingles repeat."""
+    word = lambda: f"w{rng.randrange(10**6)}"
+    for _ in range(25):
+        # One word stands 14 times after 88 words that are kept.
+        item = [word() for _ in range(102)]
+        yield [*item[:88], *[word()] * 14], item
+        yield item, [*item[:88], *[word()] * 14]
+        # The majority passes from one repeated run of five words to another.
+        one, two = [word() for _ in range(5)], [word() for _ in range(5)]
+        yield one * 23 + two * 22, one * 22 + two * 23
+        # Two shingles in nearly equal weight.
+        a, b = word(), word()
+        yield [a] * rng.randrange(20, 30) + [b] * rng.randrange(20, 30), [a] * 25 + [b] * 25
+        period = [word() for _ in range(rng.randrange(1, 9))]
+        item = (period * 60)[: rng.randrange(20, 60)]
+        text = list(item)
+        for _ in range(rng.randrange(3)):
+            text[rng.randrange(len(text))] = word()
+        yield text, item
+
+
+def test_no_hit_is_lost_where_shingles_repeat():
+    rng = random.Random(4)
+    hits = 0
+    for text, item in repeated_cases(rng):
+        around = [f"z{rng.randrange(10**6)}" for _ in range(30)]
+        whole = " ".join([*around[:15], *text, *around[15:]])
+        index = dc.build([0], [" ".join(item)])
+        ((_, hashes, _),) = words.hashed_words([whole])
+        found = {i: value for i, value, *_ in dc.matches(index, hashes)}
+        expected = best(whole, " ".join(item))
+        assert (0 in found) == (expected >= dc.THRESHOLD), (text, item)
+        if found:
+            hits += 1
+            assert abs(found[0] - expected) < 1e-9
+    assert hits > 60
+
+
+def test_repeated_and_plain_items_of_one_length(monkeypatch):
+    """Windows with and without repeats over one index give the windows of the definition, each once."""
+    rng = random.Random(5)
+    items = [" ".join(rng.choice("abcdefgh") for _ in range(12)) for _ in range(30)]
+    items += [" ".join(f"v{rng.randrange(40)}" for _ in range(12)) for _ in range(10)]
+    index = dc.build(list(range(len(items))), items)
+    for _ in range(20):
+        text = " ".join(rng.choice(items) for _ in range(4)) + " x " + items[-1]
+        own = text.split()
+        ((_, hashes, _),) = words.hashed_words([text])
+        found = {i: (round(value, 9), first, n) for i, value, first, n in dc.matches(index, hashes)}
+        expected = {}
+        for i, item in enumerate(items):
+            values = [best(" ".join(own[k : k + 12]), item) for k in range(len(own) - 11)]
+            good = [v for v in values if v >= dc.THRESHOLD]
+            if good:
+                expected[i] = round(max(good), 9), values.index(max(good)), len(good)
+        assert found == expected
+
+
 def test_parts_of_a_large_benchmark(spark, monkeypatch):
     items, texts = cases()
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
@@ -73,6 +133,7 @@ def test_multi_index_gives_all_within_the_radius(monkeypatch):
     rng = np.random.default_rng(2)
     here = dc.Length(9, 5)
     here.prints = list(rng.integers(0, 256, (200, 16), dtype=np.uint8))
+    here.sets = [(np.array([k], dtype=np.uint64), np.array([1])) for k in range(200)]
     here.index()
     asked = np.stack(here.prints)[:50].copy()
     flips = rng.random((50, 128)) < 0.33
