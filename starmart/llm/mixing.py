@@ -2,8 +2,8 @@
 
 A document of a source with n of N documents and weight w is wanted
 ``epochs * N * w / n`` times on average. Its count is that Poisson distribution,
-inverted at a uniform number that is a hash of the seed and the document's id, so,
-once the rates are known, any part of the corpus can be replicated by itself, and
+inverted at a uniform number that is a hash of the seed and the document's id and text,
+so, once the rates are known, any part of the corpus can be replicated by itself, and
 again with the same result.
 Copies are dealt out by a second hash and sorted by it.
 """
@@ -14,15 +14,15 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from starmart.scratch import stored
+from starmart.llm.rows import others, packed
 
 SEED = 20
 TEMPERATURE = 0.5
 EPOCHS = 1.0
-#: Rates of up to this many sources are broadcast; more are joined by a shuffle.
-BROADCAST_SOURCES = 10_000
-#: Ids that several texts share: up to so many are broadcast; more are joined by a shuffle, each in so many parts.
-BROADCAST_IDS, SALTS = 10_000, 16
+#: Distribution functions of up to so many numbers in all (32 MB) are broadcast; more are joined by a shuffle.
+BROADCAST_ENTRIES = 1 << 22
+#: Tasks that rows drawn alike are dealt out over.
+SALTS = 64
 
 
 def _hashed(digits: int, *parts: Column) -> Column:
@@ -31,9 +31,14 @@ def _hashed(digits: int, *parts: Column) -> Column:
     return F.conv(F.substring(F.md5(text), 1, digits), 16, 10).cast("bigint")
 
 
+def _last(rate: Column) -> Column:
+    """Up to where a double tells a Poisson distribution function from 1."""
+    return F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
+
+
 def _cumulated(rate: Column) -> Column:
-    """The Poisson distribution function at 0, 1, 2, ... as far as a double tells it from 1."""
-    last = F.ceil(rate + 12 * F.sqrt(rate) + 40).cast("int")
+    """The Poisson distribution function at 0, 1, 2, ..."""
+    last = _last(rate)
     chance = F.exp(-rate)
     start = F.struct((-rate).alias("log"), chance.alias("sum"), F.array(chance).alias("sums"))
 
@@ -69,67 +74,58 @@ def rates(
     return sized.select("of_source", "n", (F.lit(scale) * F.col("weight") / F.col("n")).alias("rate"))
 
 
-def _by_text(docs: DataFrame, name: Column) -> DataFrame:
-    """``docs`` with ``mix_name``, the id; where it is null or several texts have it, id and text."""
-    text_hash = F.xxhash64(F.col("text").isNull(), "text")
-    shared = stored(
-        docs.where("doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("mix_id"))
-        .agg(F.min(text_hash).alias("least"), F.max(text_hash).alias("greatest"))
-        .where("least != greatest")
-        .select("mix_id")
-    )
-    salted = shared.select("mix_id", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("mix_salt"))
-    if shared.count() <= BROADCAST_IDS:
-        salted = F.broadcast(salted)
-    same = (F.col("doc_id") == F.col("mix_id")) & (F.pmod(text_hash, F.lit(SALTS)) == F.col("mix_salt"))
-    of_text = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null"))
-    no_id = F.when(F.col("doc_id").isNull(), F.lit("null")).otherwise(F.lit("id"))
-    alone = F.col("doc_id").isNotNull() & F.col("mix_id").isNull()
-    both = F.when(alone, name).otherwise(F.concat_ws(":", name, no_id, of_text))
-    return docs.join(salted, same, "left").withColumn("mix_name", both).drop("mix_id", "mix_salt")
-
-
 def mix(
     docs: DataFrame,
     weights: Mapping[str, float] | None = None,
     temperature: float = TEMPERATURE,
     epochs: float = EPOCHS,
     seed: int = SEED,
-    by_text: bool = False,
+    marked: bool = True,
 ) -> DataFrame:
     """The rows of ``docs``, each as often as drawn, with ``copy`` (from 1) and ``shuffle_key``.
 
-    Rows are dealt out by shuffle_key and the other columns, so that every partition
-    is a random part of the whole, and are sorted by shuffle_key within. Columns of those names are replaced.
+    ``docs`` has doc_id, source and text; columns copy and shuffle_key are replaced, all
+    others are kept, whatever their names. Not ``marked``, all columns of ``docs`` are
+    kept and none is added. Rows are dealt out by shuffle_key, so that every partition
+    is a random part of the whole, and are sorted by it within.
 
-    A null source is a source of its own. By default, as in the SQL, a null doc_id is one
-    id, rows with one id are drawn alike, and the text plays no part: at a rate of 1.117 or
-    less every row without an id goes, at a higher one all stay. With ``by_text`` rows
-    without an id, or with one that several texts have, are drawn by id and text, all others
-    as by default; only rows equal in both are drawn alike. It needs the whole table to see
-    which ids are shared, and runs a job for it. No rows give no rows.
+    A row is drawn by the seed, its id and its text, a null of either told from any
+    value: rows without an id, or with one that others have, are drawn by their texts.
+    Only rows equal in both are drawn alike; they are dealt out over SALTS tasks. A null
+    source is a source of its own. A very long text is hashed whole. No rows give no rows.
     """
-    columns = [c for c in docs.columns if c not in ("copy", "shuffle_key")]
-    known = rates(docs, weights, temperature, epochs).select(
-        F.col("of_source").alias("mix_source"), _cumulated(F.col("rate")).alias("mix_sums")
+    columns = others(docs.columns, "copy", "shuffle_key") if marked else docs.columns
+    rated = rates(docs, weights, temperature, epochs)
+    entries = rated.agg(F.sum(_last(F.col("rate")) + 1)).first()[0] or 0
+    known = rated.select(
+        # An expression Spark does not see through: this side is dealt out anew, so that the
+        # rows of a hot source can be split.
+        F.concat(F.col("of_source"), F.lit("")).alias("of_source"),
+        _cumulated(F.col("rate")).alias("sums"),
     )
-    if known.count() <= BROADCAST_SOURCES:
+    if entries <= BROADCAST_ENTRIES:
         known = F.broadcast(known)
-    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    rows = docs.select(*columns)
-    rows = _by_text(rows, name) if by_text else rows.withColumn("mix_name", name)
-    uniform = _hashed(13, F.lit(f"count {seed}"), F.col("mix_name")) / F.lit(float(16**13))
+    rows = docs.select(
+        packed(columns),
+        # Numbered as read, so that a task that is run again deals its rows out as before.
+        (F.monotonically_increasing_id() % SALTS).alias("salt"),
+        F.col("source").alias("in_source"),
+        F.concat_ws(
+            ":",
+            F.when(F.col("doc_id").isNull(), "null").otherwise("id"),
+            F.coalesce(F.col("doc_id").cast("string"), F.lit("")),
+            F.coalesce(F.md5(F.col("text").cast("binary")), F.lit("null")),
+        ).alias("name"),
+    )
+    uniform = _hashed(13, F.lit(f"count {seed}"), F.col("name")) / F.lit(float(16**13))
     counted = (
-        rows.join(known, F.col("source").eqNullSafe(F.col("mix_source")))
-        .withColumn("mix_u", uniform)
-        .withColumn("mix_n", F.size(F.filter("mix_sums", lambda x: x <= F.col("mix_u"))))
-        .where("mix_n > 0")
+        rows.join(known, F.col("in_source").eqNullSafe(F.col("of_source")))
+        .withColumn("u", uniform)
+        .withColumn("n", F.size(F.filter("sums", lambda x: x <= F.col("u"))))
+        .where("n > 0")
     )
-    copies = counted.select(*columns, "mix_name", F.explode(F.sequence(F.lit(1), F.col("mix_n"))).alias("copy"))
-    keyed = copies.withColumn(
-        "shuffle_key", _hashed(15, F.lit(f"order {seed}"), F.col("mix_name"), F.col("copy").cast("string"))
-    ).drop("mix_name")
-    # Rows of one id have the same keys; their other columns deal them out too, so no id is one task's.
-    spread = [c for c, kind in docs.select(*columns).dtypes if "map<" not in kind]
-    return keyed.repartition("shuffle_key", *spread).sortWithinPartitions("shuffle_key", "doc_id", "copy")
+    copies = counted.select("row", "salt", "name", F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy"))
+    key = _hashed(15, F.lit(f"order {seed}"), F.col("name"), F.col("copy").cast("string"))
+    keyed = copies.select("row", "salt", "copy", key.alias("shuffle_key"))
+    dealt = keyed.repartition("shuffle_key", "salt").sortWithinPartitions("shuffle_key", "copy")
+    return dealt.select("row.*", "copy", "shuffle_key") if marked else dealt.select("row.*")

@@ -93,7 +93,10 @@ def _number(digits: int, text: str) -> str:
     return f"CAST('0x' || substr(md5({text}), 1, {digits}) AS BIGINT)"
 
 
-_ID = "coalesce(CAST(doc_id AS VARCHAR), '')"
+_ID = (
+    "CASE WHEN doc_id IS NULL THEN 'null' ELSE 'id' END || ':' || coalesce(CAST(doc_id AS VARCHAR), '')"
+    " || ':' || coalesce(md5(text), 'null')"
+)
 MIX = f"""
 WITH sized AS (SELECT source AS of_source, count(*) AS n FROM documents GROUP BY source),
 every AS (SELECT sum(n) AS n, sum(pow(n, {mixing.TEMPERATURE})) AS weight FROM sized),
@@ -104,16 +107,16 @@ summed AS (
     SELECT of_source, sum(exp(-rate + k * ln(rate) - lgamma(k + 1))) OVER (PARTITION BY of_source ORDER BY k) AS total
     FROM (SELECT *, unnest(range(0, CAST(ceil(rate + 12 * sqrt(rate) + 40) AS BIGINT) + 1)) AS k FROM rated) listed),
 drawn AS (
-    SELECT doc_id, source, text,
+    SELECT doc_id, source, text, {_ID} AS name,
         {_number(13, f"'count {mixing.SEED}:' || {_ID}")} / {float(16**13)} AS u
     FROM documents),
 levels AS (SELECT of_source, list(total ORDER BY total) AS totals FROM summed GROUP BY of_source),
 counted AS (
-    SELECT doc_id, source, text, len(list_filter(totals, lambda x: x <= u)) AS n
+    SELECT doc_id, source, text, name, len(list_filter(totals, lambda x: x <= u)) AS n
     FROM drawn JOIN levels ON source IS NOT DISTINCT FROM of_source),
-copies AS (SELECT doc_id, source, text, unnest(range(1, n + 1)) AS copy FROM counted)
+copies AS (SELECT doc_id, source, text, name, unnest(range(1, n + 1)) AS copy FROM counted)
 SELECT doc_id, source, text, CAST(copy AS INTEGER) AS copy,
-    {_number(15, f"'order {mixing.SEED}:' || {_ID} || ':' || copy")} AS shuffle_key
+    {_number(15, f"'order {mixing.SEED}:' || name || ':' || copy")} AS shuffle_key
 FROM copies
 """
 

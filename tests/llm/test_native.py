@@ -68,8 +68,9 @@ def test_counts_are_the_inverted_poisson(spark):
     copies = Counter(r.doc_id for r in found)
     import hashlib
 
-    for i, _, _, source, _ in rows:
-        u = int(hashlib.md5(f"count {mixing.SEED}:{i}".encode()).hexdigest()[:13], 16) / 16**13
+    for i, text, _, source, _ in rows:
+        name = f"id:{i}:{hashlib.md5(text.encode()).hexdigest()}"
+        u = int(hashlib.md5(f"count {mixing.SEED}:{name}".encode()).hexdigest()[:13], 16) / 16**13
         k, p = 0, math.exp(-rate[source])
         total = p
         while total <= u:
@@ -96,16 +97,28 @@ def test_rows_without_an_id_are_dealt_out(spark):
         spark.conf.unset(merging)
     assert len(found) > 1
     total = sum(r["count"] for r in found)
-    assert total == 3000 * round(total / 3000) and max(r["count"] for r in found) < total / 2
+    assert abs(total - 9000) < 5 * math.sqrt(9000) and max(r["count"] for r in found) < total / 2
 
 
-def test_rows_that_share_an_id_are_drawn_by_text_in_the_pipeline(spark):
+def test_equal_rows_are_drawn_alike_and_dealt_out(spark):
+    df = spark.range(3000).selectExpr("cast(null as bigint) as doc_id", "'same' as text", "'s' as source")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")
+    try:
+        found = mixing.mix(df, epochs=3).groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.unset(merging)
+    total = sum(r["count"] for r in found)
+    assert total == 3000 * round(total / 3000) > 0 and max(r["count"] for r in found) < total / 2
+
+
+def test_rows_that_share_an_id_are_drawn_by_text(spark, monkeypatch):
     rows = [(None, f"no id {i}", "en", "none", 1) for i in range(3000)]
     rows += [(7, f"one id {i}", "en", "one", 1) for i in range(3000)] + [(7, None, "en", "one", 1)]
     rows += [(100 + i, f"own {i}", "en", "own", 1) for i in range(3000)]
     df = spark.createDataFrame(rows, data.DOCUMENT)
     rate = {r.of_source: r.rate for r in mixing.rates(df).collect()}
-    found = corpus_pipeline.mix_sources(spark, df, "").collect()
+    found = mixing.mix(df).collect()
     share = Counter(r.source for r in found)
     for source in ("none", "one", "own"):
         mean = 3000 * rate[source]
@@ -114,16 +127,20 @@ def test_rows_that_share_an_id_are_drawn_by_text_in_the_pipeline(spark):
     for k in (1, 2, 3):
         chance = 3000 * math.exp(-rate["none"]) * rate["none"] ** k / math.factorial(k)
         assert abs(copies[k] - chance) < 5 * math.sqrt(chance)
-    # Ids that one text has are drawn as in the SQL.
-    plain = Counter(r.doc_id for r in mixing.mix(df).collect() if r.source == "own")
-    assert Counter(r.doc_id for r in found if r.source == "own") == plain
-    # The draws are the same again, and where shared ids are joined by a shuffle.
-    limit, mixing.BROADCAST_IDS = mixing.BROADCAST_IDS, 0
-    try:
-        again = corpus_pipeline.mix_sources(spark, df, "").collect()
-    finally:
-        mixing.BROADCAST_IDS = limit
-    assert Counter(again) == Counter(found)
+    # The draws are the same in the pipeline, and where the sources are joined by a shuffle.
+    by_stage = corpus_pipeline.mix_sources(spark, data.with_clashes(df, "copy", "row"), "").collect()
+    assert Counter(r[:5] for r in by_stage) == Counter(r[:5] for r in found)
+    assert {(r.copy, r.row) for r in by_stage} == {("copy", "row")}
+    monkeypatch.setattr(mixing, "BROADCAST_ENTRIES", 0)
+    assert Counter(mixing.mix(df).collect()) == Counter(found)
+
+
+def test_columns_of_any_name_are_kept(spark):
+    df = spark.createDataFrame([(i, f"t{i}", None, f"s{i % 2}", 1) for i in range(50)], data.DOCUMENT)
+    names = ["row", "salt", "name", "in_source", "of_source", "sums", "u", "n", "Copy", "shuffle_key", "a.b", "mix_u"]
+    found = mixing.mix(df.withColumns({n: F.lit(n) for n in names})).collect()
+    kept = [n for n in names if n not in ("Copy", "shuffle_key")]
+    assert found and all([r[n] for n in kept] == kept and isinstance(r.copy, int) for r in found)
 
 
 def test_weights_large_rates_and_no_rows(spark):
