@@ -23,12 +23,15 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from starmart.llm.rows import named, others, packed
 from starmart.scratch import stored
 
 CELLS = 1 << 14
 VIRTUAL = 128
 #: Parts that the rows of a cell are ranked in.
 PARTS = 64
+#: Repetitions of a row written out at once.
+STEP = 4096
 
 
 def cell(key: Column) -> Column:
@@ -86,48 +89,52 @@ def walk(counts: dict[int, int], shards: int, virtual: int = VIRTUAL) -> Iterato
 def shard_rows(docs: DataFrame, shards: int, key: str = "doc_id", virtual: int = VIRTUAL) -> DataFrame:
     """The rows of ``docs`` with ``shard`` (from 0) and ``slot``, gapless from 0 within a shard.
 
-    Columns of those names are replaced. Rows equal in all columns are counted
-    before they are dealt out and are written out again after, so a row that
-    repeats a billion times is one row on the way. A null key is the empty key.
-    No rows give no rows.
+    Columns of those names are replaced, all others kept, whatever their names and
+    types. Rows equal in all columns are counted before they are dealt out and written
+    out again after, STEP at a time: a row that repeats a billion times is one row on
+    the way, and no array is longer than what it repeats divided by STEP. Maps are
+    compared by their entries in order, so equal maps in another order are two rows,
+    each with its own place. A null key is the empty key. A very long text is hashed
+    whole. No rows give no rows.
     """
-    columns = [c for c in docs.columns if c not in ("shard", "slot")]
-    part = F.pmod(F.xxhash64(*columns), F.lit(PARTS)).cast("int")
-    celled = docs.select(*columns, cell(F.col(key)).alias("ring_cell"), part.alias("ring_part"))
-    parts = stored(celled.groupBy("ring_cell", "ring_part").agg(F.count(F.lit(1)).alias("n")))
-    counts = parts.groupBy("ring_cell").agg(F.sum("n").alias("n")).collect()
-    placed = list(walk({r["ring_cell"]: r["n"] for r in counts}, shards, virtual))
-    fields = ["ring_of", "ring_from", "ring_to", "ring_shard", "ring_first"]
-    plan = docs.sparkSession.createDataFrame(
-        pd.DataFrame(placed, columns=fields).astype("int64"),
-        ", ".join(f"{name} bigint" for name in fields),
+    columns = others(docs.columns, "shard", "slot")
+    kinds = dict(docs.dtypes)
+    maps = [c for c in columns if "map<" in kinds[c]]
+    plain = [c for c in columns if c not in maps]
+    # Maps can't be compared or hashed: their text stands for them.
+    entries = F.to_json(packed(maps)) if maps else F.lit(None).cast("string")
+    carried = packed(maps).alias("maps") if maps else F.lit(None).cast("string").alias("maps")
+    rows = docs.select(
+        packed(plain), entries.alias("entries"), carried, named(key).alias("key"), cell(named(key)).alias("cell")
     )
-    earlier = Window.partitionBy("ring_cell").orderBy("ring_part").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = parts.select(
-        "ring_cell", "ring_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("ring_before")
+    hashed = F.xxhash64("row", "entries")
+    celled = rows.withColumn("part", F.pmod(hashed, F.lit(PARTS)).cast("int"))
+    parts = stored(celled.groupBy("cell", "part").agg(F.count(F.lit(1)).alias("n")))
+    counts = parts.groupBy("cell").agg(F.sum("n").alias("n")).collect()
+    placed = list(walk({r["cell"]: r["n"] for r in counts}, shards, virtual))
+    fields = ["of", "start", "end", "shard", "first"]
+    plan = docs.sparkSession.createDataFrame(
+        pd.DataFrame(placed, columns=fields).astype("int64"), ", ".join(f"{name} bigint" for name in fields)
     )
+    earlier = Window.partitionBy("cell").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = parts.select("cell", "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
     # Rows that differ in any column differ in the second hash, but for chance: then any order will do.
-    order = Window.partitionBy("ring_cell", "ring_part").orderBy(key, F.xxhash64(*columns))
+    order = Window.partitionBy("cell", "part").orderBy("key", hashed)
     before = order.rowsBetween(Window.unboundedPreceding, -1)
-    grouped = celled.groupBy("ring_cell", "ring_part", *columns).agg(F.count(F.lit(1)).alias("ring_n"))
-    within = grouped.withColumn("ring_within", F.coalesce(F.sum("ring_n").over(before), F.lit(0)))
+    sums = [F.count(F.lit(1)).alias("n"), *([F.first("maps").alias("maps")] if maps else [])]
+    grouped = celled.groupBy("cell", "part", "key", "row", "entries").agg(*sums)
+    within = grouped.withColumn("within", F.coalesce(F.sum("n").over(before), F.lit(0)))
     # The window has dealt the rows out by cell and part: this join shuffles only the offsets.
-    ranked = within.join(offsets, ["ring_cell", "ring_part"]).withColumn(
-        "ring_rank", F.col("ring_before") + F.col("ring_within")
-    )
-    meets = (
-        (F.col("ring_cell") == F.col("ring_of"))
-        & (F.col("ring_rank") < F.col("ring_to"))
-        & (F.col("ring_rank") + F.col("ring_n") > F.col("ring_from"))
-    )
-    first = F.greatest("ring_rank", "ring_from")
-    last = F.least(F.col("ring_rank") + F.col("ring_n"), F.col("ring_to")) - 1
+    ranked = within.join(offsets, ["cell", "part"]).withColumn("rank", F.col("before") + F.col("within"))
+    meets = (F.col("cell") == F.col("of")) & (F.col("rank") < F.col("end")) & (F.col("rank") + F.col("n") > F.col("start"))
+    low = F.greatest("rank", "start") - F.col("start")
+    high = F.least(F.col("rank") + F.col("n"), F.col("end")) - 1 - F.col("start")
     # The plan has at most CELLS rows and one for each point a filled cell goes on to.
-    out = ranked.join(F.broadcast(plan), meets).withColumn(
-        "ring_slot", F.explode(F.sequence(first - F.col("ring_from"), last - F.col("ring_from")))
-    )
-    return out.select(
-        *columns,
-        F.col("ring_shard").cast("int").alias("shard"),
-        (F.col("ring_first") + F.col("ring_slot")).alias("slot"),
+    out = (
+        ranked.join(F.broadcast(plan), meets)
+        .withColumns({"low": low, "high": high})
+        .withColumn("low", F.explode(F.sequence("low", "high", F.lit(STEP).cast("bigint"))))
+        .withColumn("at", F.explode(F.sequence("low", F.least(F.col("low") + STEP - 1, F.col("high")))))
     )
+    back = [F.col("maps" if c in maps else "row").getField(c).alias(c) for c in columns]
+    return out.select(*back, F.col("shard").cast("int").alias("shard"), (F.col("first") + F.col("at")).alias("slot"))

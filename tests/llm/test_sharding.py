@@ -1,5 +1,7 @@
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from starmart.llm import sharding
 from tests.llm import data
 
@@ -26,6 +28,34 @@ def test_counts_slots_and_rows(spark):
     assert Counter(map(tuple, found)) == Counter(map(tuple, sharding.shard_rows(df, 7).collect()))
 
 
+def test_maps_and_columns_of_any_name(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "STEP", 3)
+    df = spark.range(40).selectExpr(
+        "id % 7 as doc_id", "map('k', id % 3, 'l', null) as m", "array(map(1, id % 2)) as deep", "'t' as text"
+    )
+    names = ["row", "maps", "entries", "key", "cell", "part", "of", "start", "end", "first", "rank", "low", "at", "ring_cell", "a.b"]
+    df = df.withColumns({n: F.lit(n) for n in names})
+    found = sharding.shard_rows(df, 3).collect()
+    check(found, 40, 3)
+    assert all([r[n] for n in names] == names for r in found)
+    plain = lambda xs: Counter((r.doc_id, str(r.m), str(r.deep)) for r in xs)
+    assert plain(found) == plain(df.collect())
+
+
+def test_the_query_s_columns(spark, tmp_path):
+    import zlib
+
+    from starmart.llm.queries import QUERIES
+
+    rows = data.corpus(2, 3)
+    spark.createDataFrame(rows, data.DOCUMENT).write.parquet(f"{tmp_path}/documents.parquet")
+    found = QUERIES["op3_hash_ring"](spark, str(tmp_path)).collect()
+    check(found, len(rows), 24)
+    texts = [(r[0], (r[1] or "").encode()) for r in rows]
+    expected = Counter((i, len(t) + 8, zlib.crc32(t), "rows", None) for i, t in texts)
+    assert Counter((r.doc_id, r["size"], r.text_crc32, r.law, r.grown_shard) for r in found) == expected
+
+
 def test_few_rows_and_none(spark):
     some = spark.createDataFrame([(1, "a"), (2, None), (None, "")], "doc_id bigint, text string")
     check(sharding.shard_rows(some, 24).collect(), 3, 24)
@@ -63,5 +93,5 @@ def test_a_key_of_many_rows_is_ranked_in_parts(spark):
     check(found, len(rows), 5)
     assert Counter(r.text for r in found) == Counter(t for _, t in rows)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
-    windows = [x for x in plan.splitlines() if "Window [" in x and "ring_n" in x]
-    assert windows and all("[ring_cell" in x and ", ring_part" in x for x in windows)
+    windows = [x for x in plan.splitlines() if "Window [" in x and "sum(n" in x and "key#" in x]
+    assert windows and all("[cell" in x and ", part" in x for x in windows)
