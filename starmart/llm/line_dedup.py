@@ -26,6 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from starmart.llm.components import redealt
+from starmart.llm.rows import others, packed
 from starmart.scratch import discard, stored
 
 MIN_WORDS = 50
@@ -183,7 +184,8 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     """``docs`` with ``text`` less the later copies of repeated runs, and ``n_lines``, ``n_deleted``.
 
     ``docs`` has doc_id bigint and text string; columns n_lines and n_deleted (lines
-    before and deleted, blank ones not counted) are replaced, others are kept.
+    before and deleted, blank ones not counted) are replaced, others are kept, whatever
+    their names. A very long text is taken apart in one task, and its ranges meet in one row.
 
     The first copy is that of the least (doc_id, text hash, line); a null id counts
     as 0. Copies may overlap: lines that repeat one after another keep their first period. Blank lines
@@ -194,18 +196,15 @@ def remove_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFr
     """
     text_hash = F.xxhash64(F.col("doc_id").isNull(), F.col("text").isNull(), "text")
     doc = F.coalesce("doc_id", F.lit(0)).cast("bigint")
-    keyed = docs.withColumn("run_key", F.struct(doc.alias("doc"), text_hash.alias("text_hash")))
-    parts = repeated_parts(keyed.select("run_key.*", "text"), min_words)
-    ranges = parts.groupBy(F.col("doc").alias("run_doc"), F.col("text_hash").alias("run_hash")).agg(
-        F.collect_set(F.struct("at", "until")).alias("run_ranges")
-    )
+    columns = others(docs.columns, "text", "n_lines", "n_deleted")
+    keyed = docs.select(packed(columns), doc.alias("doc"), text_hash.alias("text_hash"), "text")
+    parts = repeated_parts(keyed.select("doc", "text_hash", "text"), min_words)
+    ranges = parts.groupBy("doc", "text_hash").agg(F.collect_set(F.struct("at", "until")).alias("ranges"))
 
     @F.pandas_udf("text string, n_lines long, n_deleted long")
     def cut(texts: pd.Series, all_ranges: pd.Series) -> pd.DataFrame:
         rows = [_without(t, r) for t, r in zip(texts, all_ranges)]
         return pd.DataFrame(rows, columns=["text", "n_lines", "n_deleted"])
 
-    same = (F.col("run_key.doc") == F.col("run_doc")) & (F.col("run_key.text_hash") == F.col("run_hash"))
-    done = keyed.join(ranges, same, "left").withColumn("run_cut", cut("text", "run_ranges"))
-    columns = [c for c in docs.columns if c not in ("text", "n_lines", "n_deleted")]
-    return done.select(*columns, "run_cut.text", "run_cut.n_lines", "run_cut.n_deleted")
+    done = keyed.join(ranges, ["doc", "text_hash"], "left").withColumn("cut", cut("text", "ranges"))
+    return done.select("row.*", "cut.text", "cut.n_lines", "cut.n_deleted")

@@ -52,7 +52,7 @@ def test_awkward_rows(spark):
         (9, "unique words only here and there", "k"),
     ]
     df = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
-    df = data.with_clashes(df, "doc", "at", "rank", "n_lines", "run", "ends")
+    df = data.with_clashes(df, "doc", "at", "rank", "n_lines", "run", "ends", "row", "text_hash", "ranges", "cut", "run_key", "a.b")
     out = line_dedup.remove_repeated_lines(df, min_words=6)
     assert set(out.columns) == set(df.columns) | {"n_deleted"}
     found = {}
