@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from starmart.llm import words
 from starmart.llm.components import components, redealt
+from starmart.llm.rows import packed
 from starmart.scratch import discard, stored
 
 SIDE = 10
@@ -316,23 +317,19 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without all but one document of each component.
 
     Documents without words stay. Of rows equal in doc_id and text one stays.
-    Columns are those of ``docs``.
+    Columns are those of ``docs``, whatever their names.
     """
     results = stored(near_duplicates(docs))
-    ids = ["keep_id", "keep_hash"]
-    stays = (
+    stays = stored(
         results.where("stays")
         .groupBy(F.col("doc_id").alias("keep_id"), F.col("text_hash").alias("keep_hash"))
-        .agg(F.count(F.lit(1)).alias("keep_copies"))
+        .agg(F.count(F.lit(1)).alias("copies"))
     )
-    stays = stored(stays)
-    marked = docs.withColumn("keep_own", F.struct("doc_id", _text_hash().alias("text_hash")))
-    same = F.col("keep_own.doc_id").eqNullSafe(F.col("keep_id")) & (
-        F.col("keep_own.text_hash") == F.col("keep_hash")
-    )
-    single = marked.join(stays.where("keep_copies = 1"), same).select(docs.columns)
-    several = stays.where("keep_copies > 1")
+    marked = docs.select(packed(docs.columns), F.col("doc_id").alias("own_id"), _text_hash().alias("own_hash"))
+    same = F.col("own_id").eqNullSafe(F.col("keep_id")) & (F.col("own_hash") == F.col("keep_hash"))
+    single = marked.join(stays.where("copies = 1"), same).select("row.*")
+    several = stays.where("copies > 1")
     if several.isEmpty():
         return single
-    again = marked.join(several, same).dropDuplicates(ids).select(docs.columns)
+    again = marked.join(several, same).dropDuplicates(["keep_id", "keep_hash"]).select("row.*")
     return single.unionAll(again)

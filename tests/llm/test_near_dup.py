@@ -68,6 +68,16 @@ def test_open_pairs_come_last_and_are_found(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
+def test_columns_of_any_name_are_kept(spark):
+    rows = [(i % 5, "one two three four five six seven" + " x" * (i % 3), "en", "s", 1) for i in range(20)]
+    names = ["row", "own_id", "own_hash", "keep_id", "keep_hash", "keep_own", "copies", "node", "label", "a.b"]
+    df = data.with_clashes(spark.createDataFrame(rows, data.DOCUMENT), *names)
+    out = near_dup.without_near_duplicates(df)
+    assert out.columns == df.columns
+    found = out.collect()
+    assert found and all([r[n] for n in names] == names for r in found)
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], data.DOCUMENT)
     assert near_dup.near_duplicates(none).count() == 0
