@@ -195,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
 
     ``labels`` has doc_id and the label; rows with a null or another value are left
     out, and the label of an id that has both values is 1. At most ``max_rows``
-    labelled ids are used.
+    labelled ids are used, each with one of its texts, the same in every run.
     """
     chosen = (
         labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
@@ -204,19 +204,21 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", max_rows:
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(max_rows)
     )
-    # max_rows ids and labels are small, whatever the corpus.
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("label", "text")
+    # max_rows ids and labels are small, whatever the corpus. Of the texts of one id the one with
+    # the least hash counts, so that an id that very many rows share is one row of the sample.
+    labelled = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    least = F.min_by("text", F.xxhash64(F.col("text").isNull(), "text")).alias("text")
+    texts = labelled.groupBy("doc_id", "label").agg(least).select("label", "text")
     schema = "label int, " + ", ".join(f"f{k} double" for k in range(FEATURES))
     measured = texts.mapInArrow(_measured, schema)
-    # Rows of an id that repeats could exceed the bound.
-    rows = measured.limit(max_rows).toPandas().sort_values(measured.columns).to_numpy(dtype=float)
+    rows = measured.toPandas().sort_values(measured.columns).to_numpy(dtype=float)
     return fit(rows[:, 1:], rows[:, 0])
 
 
 def score(docs: DataFrame, model: Forest, into: str = "score") -> DataFrame:
     """``docs`` with the column ``into``, from 0 to 1; higher means label 1 is likelier.
 
-    A null text is scored as an empty one. A column of that name is replaced, others
+    A null text is scored as an empty one, a very long one whole, SLICE texts at a time. A column of that name is replaced, others
     are kept. A model fitted on no rows gives every text a half. No rows give no rows.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -85,3 +85,15 @@ def test_pieces_hold_the_grams_of_the_whole(monkeypatch):
     whole = np.sort(np.concatenate(list(language._pieces(text))))
     monkeypatch.setattr(language, "PIECE", 17)
     assert (np.sort(np.concatenate(list(language._pieces(text)))) == whole).all()
+
+
+def test_a_labelled_id_with_many_texts_is_one_row_of_the_sample(spark, monkeypatch):
+    texts = [(7, f"junk number {i}") for i in range(3000)] + [(i, f"own text {i}") for i in range(10, 60)]
+    docs = spark.createDataFrame(texts, "doc_id bigint, text string").repartition(6)
+    labels = spark.createDataFrame([(i, i % 2) for i in (7, *range(10, 60))], "doc_id bigint, quality int")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda x, y: fitted.append((x, y)))
+    quality.train(docs, labels, max_rows=40)
+    quality.train(docs.repartition(3), labels, max_rows=40)
+    (x, y), (again, _) = fitted
+    assert len(x) == len(y) == 40 and (x == again).all()
