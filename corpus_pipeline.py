@@ -5,13 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from starmart.llm import decontaminate, mixing, near_dup, quality, sharding
-from starmart.scratch import stored
+from starmart.llm.rows import packed
 from starmart.llm.shipping import ship
+from starmart.scratch import stored
 
 #: Documents scored lower are rejected.
 LEAST_QUALITY = 0.3
-#: A name that no column of the documents has.
-SCORE = "pipeline_quality_score"
 SHARDS = 24
 
 
@@ -20,8 +19,8 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     ship(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(quality.remainder("doc_id", 5) != 0)
     model = quality.train(spark.read.parquet(f"{sf_dir}/documents.parquet"), labels)
-    scored = quality.score(docs, model, into=SCORE)
-    return scored.where(F.col(SCORE) >= LEAST_QUALITY).select(docs.columns)
+    scored = quality.score(docs.select(packed(docs.columns), "text"), model)
+    return scored.where(F.col("score") >= LEAST_QUALITY).select("row.*")
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,8 +36,8 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the target weights of their sources ask for, shuffled; each text is drawn by itself."""
-    return mixing.mix(docs, by_text=True).select(docs.columns)
+    """Documents as often as the target weights of their sources ask for, shuffled."""
+    return mixing.mix(docs, marked=False)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
