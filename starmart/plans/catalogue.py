@@ -10,7 +10,7 @@ from pyspark.sql.types import DateType, DecimalType
 
 from starmart import files
 from starmart.functions import canonical_key, line_amount, person_name, quantity
-from starmart.operators import acceptance, bi, filters, hierarchy, narrate, profile, quality
+from starmart.operators import acceptance, bi, filters, hierarchy, keyfinder, narrate, profile, quality
 from starmart.plans.release import ReleasedStar, release
 from starmart.plans.stability import key_changes, stability, store_keys
 from starmart.plans.star import Star
@@ -326,5 +326,6 @@ QUERIES: dict[str, Query] = {
     "source_inventory": _on_star(lambda s: profile.source_inventory(s.sources)),
     "profile_columns": _on_star(lambda s: profile.profile_columns(s.sources)),
     "pk_uniqueness": _on_star(_pk_uniqueness),
+    "discovered_keys": _on_star(lambda s: keyfinder.discovered_keys(s.sources[0])),
     "source_foreign_keys": _on_star(lambda s: quality.source_foreign_keys(s.sources)),
 }

@@ -458,6 +458,46 @@ def _pk() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _discovered() -> str:
+    """Keys of ORDERS' tables and references to them, from all values of whole numbers and texts."""
+    tables = SYSTEM_TABLES["Orders"]
+    kinds = {"int": "number", "bigint": "number", "string": "text"}
+    columns = [(t, c, kinds[kind]) for t in tables for c, kind in _columns(t) if kind in kinds]
+    counted = " UNION ALL ".join(
+        f"SELECT '{t}' AS t, '{c}' AS c, '{kind}' AS kind, {i} AS nr, count(*) AS n, count({c}) AS f, count(DISTINCT {c}) AS d FROM {t}"
+        for i, (t, c, kind) in enumerate(columns)
+    )
+    both = " UNION ALL ".join(
+        f"SELECT '{t}' AS t, '{a}' AS a, '{b}' AS b, (SELECT count(*) FROM (SELECT DISTINCT {a}, {b} FROM {t}) x) AS d"
+        for i, (t, a, _) in enumerate(columns)
+        for u, b, _ in columns[i + 1 :]
+        if u == t
+    )
+    held = " UNION ".join(
+        f"SELECT {i} AS nr, '{kind}' AS kind, CAST({c} AS VARCHAR) AS v FROM {t} WHERE {c} IS NOT NULL"
+        for i, (t, c, kind) in enumerate(columns)
+    )
+    keys = ", ".join(f"('{t}', '{PRIMARY_KEYS[t]}')" for t in tables)
+    links = ", ".join(
+        f"('{t}', '{c}', '{p}({k})')" for t, c, p, k in SYSTEM_FOREIGN_KEYS["Orders"]
+    )
+    return f"""WITH counted AS ({counted}),
+      single AS (SELECT * FROM counted WHERE n > 0 AND f = n AND d = n),
+      both_ AS ({both}),
+      held AS ({held}),
+      met AS (SELECT a.nr AS child, b.nr AS parent, count(*) AS n FROM held a JOIN held b USING (kind, v)
+              WHERE a.nr <> b.nr GROUP BY 1, 2)
+      SELECT 'Orders' AS SourceSystem, t AS TableName, c AS KeyColumns, CAST(NULL AS VARCHAR) AS "References",
+        (t, c) IN ({keys}) AS Declared FROM single
+      UNION ALL
+      SELECT 'Orders', x.t, x.a || ',' || x.b, NULL, (x.t, x.a || ',' || x.b) IN ({keys})
+      FROM both_ x JOIN counted a ON a.t = x.t AND a.c = x.a JOIN counted b ON b.t = x.t AND b.c = x.b
+      WHERE a.n > 0 AND a.f = a.n AND b.f = b.n AND a.d < a.n AND b.d < b.n AND x.d = a.n
+      UNION ALL
+      SELECT 'Orders', a.t, a.c, p.t || '(' || p.c || ')', (a.t, a.c, p.t || '(' || p.c || ')') IN ({links})
+      FROM met JOIN counted a ON a.nr = child JOIN single p ON p.nr = parent WHERE met.n = a.d"""
+
+
 def _fk() -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{system}' AS SourceSystem, '{table}({column})' AS ForeignKey, "
@@ -679,5 +719,6 @@ ORACLE: dict[str, str] = {
     "source_inventory": _source_inventory(),
     "profile_columns": _profile(),
     "pk_uniqueness": _pk(),
+    "discovered_keys": _discovered(),
     "source_foreign_keys": _fk(),
 }
