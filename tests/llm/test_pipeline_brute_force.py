@@ -70,7 +70,8 @@ def test_every_stage(spark, tmp_path):
     rate = {s: len(clean) * weight[s] / sum(weight.values()) / sizes[s] for s in sizes}
     drawn = Counter()
     for i in clean:
-        digits = hashlib.md5(f"count {mixing.SEED}:{i}".encode()).hexdigest()[:13]
+        name = f"id:{i}:{hashlib.md5(by_id[i][1].encode()).hexdigest()}"
+        digits = hashlib.md5(f"count {mixing.SEED}:{name}".encode()).hexdigest()[:13]
         drawn[i] = poisson(rate[by_id[i][3]], int(digits, 16) / 16**13)
     assert Counter(ids[3]) == +drawn
 
