@@ -111,6 +111,24 @@ def header_sales_of(source: Source) -> DataFrame:
     return joined.select(*HEADER_COLUMNS, "Lines")
 
 
+def sold_dates_of(source: Source) -> DataFrame:
+    """DateKey of the source's headers that have a line in the fact; lines are only looked up, not summed."""
+    spec = source.spec
+    if spec.header_sales is None:
+        return sales_of(source).select("DateKey")
+    parts = spec.header_sales(source.raw)
+    lines, types = parts.lines.evaluated()
+    _, _, usable = _measured(types)
+    # Distinct first: a header with very many lines is one row per task.
+    sold = lines.where(usable).select("HeaderKey").distinct()
+    headers, _ = parts.headers.evaluated(("HeaderKey", "DateKey"))
+    return headers.join(sold, "HeaderKey", "left_semi").select("DateKey")
+
+
+def sold_dates(sources: Sequence[Source]) -> DataFrame:
+    return union_all(sold_dates_of(s) for s in sources)
+
+
 def header_sales(sources: Sequence[Source]) -> DataFrame:
     """All sources: for reports on source, date and customer, whose sums need no single line."""
     return union_all(header_sales_of(s) for s in sources)

@@ -11,7 +11,7 @@ from collections.abc import Collection, Mapping, Sequence
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import IntegerType, StructField, StructType
 
 from starmart.operators.dims import (
@@ -23,8 +23,9 @@ from starmart.operators.dims import (
     products_of,
 )
 from starmart.operators.fact import HEADER_COLUMNS, sales_of
-from starmart.operators.filters import filter_sales
+from starmart.operators.filters import date_bounds, filter_sales
 from starmart.operators.quality import quarantine, violations
+from starmart.plans.footers import bounds, footers
 from starmart.plans.star import Star
 from starmart.schema import (
     DIM_CUSTOMER,
@@ -37,6 +38,7 @@ from starmart.schema import (
 from starmart.sources.spec import Source
 
 PARTITION = "SourceSystemID"
+_DATE_KEY = StructType([*[f for f in FACT_SALES.fields if f.name == "DateKey"], StructField("Year", IntegerType())])
 
 
 def _write(df: DataFrame, path: str, table: str, system_id: int, *partitions: str) -> None:
@@ -136,6 +138,37 @@ class PublishedStar(Star):
         ids = None if source_names is None else self.source_ids(source_names)
         return filter_sales(rows, ids, first, last).select(*FACT_SALES.names)
 
+    def sales_on(self, days: Column) -> DataFrame:
+        """The fact on days that meet a condition on DimTime; of other years no file is read.
+
+        The days that are found bring their years, and these prune the folders while the
+        query runs.
+        """
+        chosen = F.broadcast(self.dim_time.where(days).select("DateKey", "Year"))
+        return self._partitioned_sales.join(chosen, ["DateKey", "Year"]).select(*FACT_SALES.names)
+
+    def _fact_folders(self) -> list[str]:
+        return [f"{self.path}/FactSales"]
+
+    def _footer_bounds(self) -> DataFrame:
+        """low, high and n of the fact's DateKey; lines without a date lie in folders of their own."""
+        return bounds(self.spark, self._fact_folders(), _DATE_KEY, "DateKey", "Year IS NOT NULL")
+
+    def date_bounds(self) -> DataFrame:
+        """From the files' footers: no row of the fact is read, and one row comes to the driver."""
+        low = high = None
+        if self._fact_folders():
+            with footers(self.spark):
+                low, high, _ = self._footer_bounds().first()
+        return date_bounds(self.spark.createDataFrame([(low, None), (high, None)], _DATE_KEY))
+
+    def fact_rows(self) -> int:
+        """Rows of the fact, from the files' footers."""
+        if not self._fact_folders():
+            return 0
+        with footers(self.spark):
+            return self._footer_bounds().first()["n"]
+
 
 def retain_raw(source: Source, path: str, load: str) -> None:
     """Keep a source's tables as delivered, all columns of the files, under the given load.

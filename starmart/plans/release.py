@@ -19,10 +19,11 @@ from collections.abc import Callable, Sequence
 from functools import cached_property
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import DecimalType, IntegerType, LongType, StringType, StructField, StructType
 
 from starmart import files
 from starmart.operators.dims import calendar, customers_of, dates_of, dim_source_system, employees_of, products_of
+from starmart.operators.fact import HEADER_COLUMNS
 from starmart.operators.quality import delivered_lines
 from starmart.plans.publish import PARTITION, PublishedStar
 from starmart.plans.stability import key_changes, stability, store_keys
@@ -63,6 +64,23 @@ def _write_members(df: DataFrame, folder: str, table: str, system_id: int) -> No
     df.drop(PARTITION).hint("rebalance").write.parquet(f"{folder}/{table}/{PARTITION}={system_id}")
 
 
+def _write_summary(spark: SparkSession, folder: str, system_id: int) -> None:
+    """Sums per day and customer of a load, made from its stored lines.
+
+    Sums and counts can be added up further, so reports on source, date and customer
+    need no line. They are as new as the load: no other source's are touched.
+    """
+    stored = StructType([*[f for f in FACT_SALES.fields if f.name != PARTITION], StructField("Year", IntegerType())])
+    lines = spark.read.schema(stored).parquet(f"{folder}/Lines/{PARTITION}={system_id}/Status=loaded")
+    sums = lines.groupBy("Year", "DateKey", "CustomerID").agg(
+        F.sum("SalesQuantity").alias("SalesQuantity"),
+        F.sum("SalesAmount").alias("SalesAmount"),
+        F.count(F.lit(1)).alias("Lines"),
+    )
+    target = f"{folder}/Summary/{PARTITION}={system_id}"
+    sums.hint("rebalance", "Year").write.partitionBy("Year").parquet(target)
+
+
 def write_load(source: Source, path: str) -> dict:
     """Write all that a source contributes to a new folder; returns its entry of the manifest."""
     spec, load = source.spec, uuid.uuid4().hex
@@ -81,6 +99,7 @@ def write_load(source: Source, path: str) -> dict:
     watched = balanced.observe(seen, *[column.alias(name) for name, column in counts.items()])
     target = f"{folder}/Lines/{PARTITION}={spec.system_id}"
     watched.write.partitionBy(*_FOLDERS).parquet(target)
+    _write_summary(spark, folder, spec.system_id)
     _write_members(calendar(dates_of(source)), folder, "DimTime", spec.system_id)
     _write_members(customers_of(source), folder, "DimCustomer", spec.system_id)
     _write_members(employees_of(source), folder, "DimEmployee", spec.system_id)
@@ -181,12 +200,34 @@ class ReleasedStar(PublishedStar):
     def _partitioned_sales(self) -> DataFrame:
         return self._lines.where(F.col("Status") == "loaded").select(*FACT_SALES.names, "Year")
 
+    @cached_property
+    def _summary(self) -> DataFrame:
+        stored = StructType(
+            [
+                *[f for f in FACT_SALES.fields if f.name in ("DateKey", "CustomerID")],
+                StructField("SalesQuantity", LongType()),
+                StructField("SalesAmount", DecimalType(28, 2)),
+                StructField("Lines", LongType()),
+                StructField(PARTITION, IntegerType()),
+                StructField("Year", IntegerType()),
+            ]
+        )
+        return self._scan("Summary", stored)
+
+    @cached_property
+    def header_sales(self) -> DataFrame:
+        """The stored sums per day and customer: reports on source, date and customer read no line."""
+        return self._summary.select(*HEADER_COLUMNS, "Lines")
+
     @cached_property
     def not_loaded(self) -> DataFrame:
         """Lines that were delivered and are not in the fact, as delivered, with ``Status`` and ``Reason``."""
         keys = ("CustomerID", "ProductID")
         return self._lines.where(F.col("Status") != "loaded").select(PARTITION, "Status", *_RAW_COLUMNS, *keys)
 
+    def _fact_folders(self) -> list[str]:
+        return [f"{folder}/Lines/{PARTITION}={k}/Status=loaded" for k, folder in self._loads.items()]
+
     def source_ids(self, names: Sequence[str]) -> list[int]:
         """From the manifest."""
         by_name = {e["name"]: int(k) for k, e in self.manifest["sources"].items()}

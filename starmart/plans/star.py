@@ -7,10 +7,10 @@ from dataclasses import dataclass
 from datetime import date
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from starmart.operators import dims, fact
-from starmart.operators.filters import filter_sales
+from starmart.operators.filters import date_bounds, filter_sales
 from starmart.schema import STAR_TABLES
 from starmart.sources.spec import Source
 
@@ -66,6 +66,16 @@ class Star:
         ids = None if source_names is None else self.source_ids(source_names)
         return filter_sales(self.fact_sales, ids, first, last)
 
+    def date_bounds(self) -> DataFrame:
+        """First and last date of the fact (see ``filters.date_bounds``)."""
+        return date_bounds(fact.sold_dates(self.sources))
+
+    def sales_on(self, days: Column) -> DataFrame:
+        """The fact on days that meet a condition on DimTime, such as a quarter; lines without a date are left out."""
+        # Bounded by the calendar.
+        chosen = F.broadcast(self.dim_time.where(days).select("DateKey"))
+        return self.fact_sales.join(chosen, "DateKey", "left_semi")
+
     def tables(self, only: Mapping[str, Collection[str]] | None = None) -> dict[str, DataFrame]:
         """All tables by name; of the members in ``only`` just the named columns.
 

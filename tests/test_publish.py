@@ -6,9 +6,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from starmart import RawZone, Source, Star
-from starmart.operators import bi, quality
+from starmart.operators import bi, filters, quality
 from starmart.scratch import stored
 from starmart.sources import northwind
+from starmart.plans import footers
 from starmart.plans.publish import (
     PublishedStar,
     log_violations,
@@ -180,3 +181,38 @@ def test_a_change_to_published_history_shows(spark, star, music, food, tmp_path)
     lines = food.raw.table("Order Details").withColumn("UnitPrice", (F.col("UnitPrice") + 1).cast("decimal(18,2)"))
     publish_source(spark, Source(food.spec, food.raw.replacing(**{"Order Details": lines})), str(tmp_path))
     assert unchanged()["Northwind"] is False
+
+
+def test_date_bounds_and_rows_come_from_the_footers(spark, star, published):
+    expected = rows(filters.date_bounds(star.fact_sales))
+    assert rows(published.date_bounds()) == rows(star.date_bounds()) == expected
+    assert published.fact_rows() == star.fact_sales.count()
+    with footers.footers(spark):
+        text = plan(published._footer_bounds())
+    assert "PushedAggregation: [MIN(DateKey), MAX(DateKey)]" in text and "PushedAggregation: [COUNT(*)]" in text
+    # Outside, tables are read as before.
+    assert "PushedAggregation" not in plan(published._footer_bounds())
+
+
+def test_date_bounds_of_raw_tables_sum_no_line(star, no_broadcast):
+    text = plan(star.date_bounds())
+    assert "LeftSemi" in text and "sum(" not in text
+
+
+def test_a_calendar_filter_reads_its_years_only(star, published):
+    quarter = F.col("Quarter") == star.dim_time.agg(F.max("Quarter")).first()[0]
+    made = published.sales_on(quarter)
+    expected = rows(star.sales_on(quarter))
+    assert rows(made) == expected and expected
+    assert "dynamicpruning" in plan(published.sales_on(quarter))
+    # Files of other years can't even be read, and nobody tries.
+    years = {f"Year={r.DateKey // 10000}" for r in made.collect()}
+    spoilt = 0
+    for f in Path(published.path, "FactSales").rglob("*.parquet"):
+        if f.parent.name not in years:
+            f.write_bytes(b"not a table")
+            spoilt += 1
+    assert spoilt
+    again = PublishedStar(published.spark, published.path)
+    assert rows(again.sales_on(quarter)) == expected
+    assert again.sales_on(F.col("Year") == 1900).count() == 0
