@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -11,6 +12,8 @@ from pyspark.sql.types import DateType, DecimalType
 from starmart import files
 from starmart.functions import canonical_key, line_amount, person_name, quantity
 from starmart.operators import acceptance, bi, filters, hierarchy, keyfinder, narrate, profile, quality
+from starmart.plans import drift
+from starmart.plans.publish import retain_raw
 from starmart.plans.release import ReleasedStar, release
 from starmart.plans.stability import key_changes, stability, store_keys
 from starmart.plans.star import Star
@@ -184,6 +187,106 @@ def _staged_load(spark: SparkSession, root: str) -> DataFrame:
     return made
 
 
+def _reports_after_reload(spark: SparkSession, root: str) -> DataFrame:
+    """Two systems are released and one is reloaded without every fifth event: sums as stored, bounds from footers."""
+    path = new_folder(spark)
+    star = _star(spark, root)
+    release(spark, star.sources, path)
+    events = star.sources[1]
+    fewer = events.raw.replacing(events=events.raw.table("events").where("event_id % 5 != 0"))
+    release(spark, [Source(events.spec, fewer)], path)
+    now = ReleasedStar(spark, path)
+    sums = bi.source_system_comparison(now.header_sales, now.dim_source_system)
+    # One row, as it is known from the footers.
+    facts = now.date_bounds().withColumn("FactRows", F.lit(now.fact_rows()).cast("bigint"))
+    made = stored(presented(sums.crossJoin(F.broadcast(facts))))
+    files.delete(spark, path)
+    return made
+
+
+def _calendar_filter(star: Star) -> DataFrame:
+    """Sales of third quarters by source and year."""
+    year = F.col("DateKey").substr(1, 4).cast("int")
+    chosen = star.sales_on(F.col("Quarter") == 3)
+    return chosen.groupBy("SourceSystemID", year.alias("Year")).agg(
+        F.sum("SalesAmount").alias("SalesAmount"), F.sum("SalesQuantity").alias("SalesQuantity")
+    )
+
+
+def _kept_loads(spark: SparkSession, root: str) -> tuple[str, Source]:
+    """Members of ORDERS as two loads delivered them: the later one with columns that came, went and changed."""
+    (orders,) = testdata.sources(spark, root, ORDERS)
+    spec = replace(orders.spec, tables=("customer", "part"))
+    path = new_folder(spark)
+    retain_raw(Source(spec, orders.raw), path, "a")
+    customer = orders.raw.table("customer").drop("c_mktsegment").withColumn("c_since", F.lit("2024-01-01").cast("date"))
+    part = orders.raw.table("part").withColumns(
+        {"p_size": F.col("p_size").cast("bigint"), "p_retailprice": F.col("p_retailprice").cast("string")}
+    )
+    retain_raw(Source(spec, orders.raw.replacing(customer=customer, part=part)), path, "b")
+    return path, Source(spec, orders.raw)
+
+
+def _schema_drift(spark: SparkSession, root: str) -> DataFrame:
+    path, source = _kept_loads(spark, root)
+    made = stored(drift.schema_drift(spark, path, source.spec.name, source.spec.tables, "a", "b"))
+    files.delete(spark, path)
+    return made
+
+
+def _loads_together(spark: SparkSession, root: str) -> DataFrame:
+    """Rows and filled values of both loads, read under one schema."""
+    path, source = _kept_loads(spark, root)
+    parts = []
+    for table in source.spec.tables:
+        rows = drift.read_loads(spark, path, source.spec.name, table, ["a", "b"])
+        columns = [c for c in rows.columns if c != "load"]
+        counts = rows.groupBy("load").agg(F.count("*").alias("RowCount"), *[F.count(c).alias(c) for c in columns])
+        long = counts.unpivot(["load", "RowCount"], columns, "ColumnName", "FilledRows")
+        parts.append(long.select(F.lit(table).alias("TableName"), F.col("load").alias("Load"), "RowCount", "ColumnName", "FilledRows"))
+    made = stored(union_all(parts))
+    files.delete(spark, path)
+    return made
+
+
+def _retained_load(spark: SparkSession, root: str) -> DataFrame:
+    """Sales of ORDERS made from a retained load, as if the source were gone."""
+    (orders,) = testdata.sources(spark, root, ORDERS)
+    path = new_folder(spark)
+    retain_raw(orders, path, "a")
+    kept = RawZone.parquet(spark, f"{path}/{orders.spec.name}", suffix="/load=a")
+    star = Star(spark, [Source(orders.spec, kept)])
+    made = stored(presented(bi.sales_by_year_month(star.header_sales, star.dim_time)))
+    files.delete(spark, path)
+    return made
+
+
+def _business_tables(star: Star) -> DataFrame:
+    """The inventory of a source that also lists tables of its storage system: those are not even opened."""
+    listed = [
+        Source(replace(s.spec, tables=(*s.spec.tables, "sqlite_sequence", "SQLITE_stat1")), s.raw) for s in star.sources
+    ]
+    return profile.table_inventory(listed)
+
+
+def _selected_totals(star: Star) -> DataFrame:
+    """Documented totals against a selection of everything, and against parts: those have no figures to be held to."""
+    documented = testdata.raw_totals(star.sources[0].raw)
+    selections = {
+        "all": filters.Selection(),
+        "all sources by name": filters.Selection(["Orders", "Events"]),
+        "one source": filters.Selection(["Orders"]),
+        "some days": filters.Selection(None, FILTER_FIRST, FILTER_LAST),
+    }
+    checks = [
+        acceptance.check_totals(star.header_sales, star.dim_source_system, documented, selection=selection).withColumn(
+            "Selection", F.lit(name)
+        )
+        for name, selection in selections.items()
+    ]
+    return union_all(checks)
+
+
 def _two_loads(compare: Callable[[SparkSession, str, str], DataFrame]) -> Query:
     """A comparison of the ids of two stored loads of ORDERS."""
 
@@ -270,7 +373,9 @@ QUERIES: dict[str, Query] = {
     "scale_gap": _on_star(_scale_gap),
     "totals_rollup": _on_star(lambda s: bi.totals_rollup(s.header_sales, s.dim_source_system)),
     "totals_check": _on_star(_totals_check),
-    "date_bounds": _on_star(lambda s: filters.date_bounds(s.header_sales)),
+    "totals_check_selected": _on_star(_selected_totals),
+    "date_bounds": _on_star(lambda s: s.date_bounds()),
+    "calendar_filter": _on_star(_calendar_filter),
     "sales_by_classification": _on_star(
         lambda s: bi.sales_by_classification(s.fact_sales, s.dim_product)
     ),
@@ -318,11 +423,16 @@ QUERIES: dict[str, Query] = {
     "dq_violations": _each_source(quality.violations),
     "third_source": _third_source,
     "staged_load": _staged_load,
+    "reports_after_reload": _reports_after_reload,
+    "schema_drift": _schema_drift,
+    "loads_together": _loads_together,
+    "retained_load": _retained_load,
     "key_stability": _two_loads(stability),
     "key_changes": _two_loads(key_changes),
     "source_volume": _on_star(lambda s: quality.source_volume(s.sources), ORDERS, EVENTS, INTAKE),
     # profile
     "table_inventory": _on_star(lambda s: profile.table_inventory(s.sources)),
+    "business_tables": _on_star(_business_tables),
     "source_inventory": _on_star(lambda s: profile.source_inventory(s.sources)),
     "profile_columns": _on_star(lambda s: profile.profile_columns(s.sources)),
     "pk_uniqueness": _on_star(_pk_uniqueness),

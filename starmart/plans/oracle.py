@@ -418,6 +418,21 @@ def _inventory() -> str:
     )
 
 
+def _loads_together() -> str:
+    """Filled values of each column in both loads; the later one lacks and adds a column."""
+    parts = []
+    for table, added in (("customer", ["c_since"]), ("part", [])):
+        for load in "ab":
+            for column in [*[c for c, _ in _columns(table)], *added]:
+                missing = column == ("c_since" if load == "a" else "c_mktsegment")
+                filled = "CAST(0 AS BIGINT)" if missing else "count(*)" if column in added else f"count({column})"
+                parts.append(
+                    f"SELECT '{table}' AS TableName, '{load}' AS Load, count(*) AS RowCount, "
+                    f"'{column}' AS ColumnName, {filled} AS FilledRows FROM {table}"
+                )
+    return "\nUNION ALL ".join(parts)
+
+
 def _source_inventory() -> str:
     counts = " ".join(
         f"WHEN '{system}' THEN {len(keys)}" for system, keys in SYSTEM_FOREIGN_KEYS.items()
@@ -598,6 +613,31 @@ ORACLE: dict[str, str] = {
       SELECT coalesce(Label, 'Combined') AS Label, CAST(sum(a) AS DOUBLE) AS Documented,
         CAST(sum(a) AS DOUBLE) AS Computed, CAST(0 AS DOUBLE) AS Difference, TRUE AS Matches
       FROM t GROUP BY ROLLUP (Label)""",
+    "totals_check_selected": """WITH t AS (
+        SELECT 'Orders' AS Label, sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS a FROM lineitem
+        UNION ALL SELECT 'Events', sum(CAST(value AS DECIMAL(18,2))) FROM events WHERE event_type = 'purchase')
+      SELECT coalesce(Label, 'Combined') AS Label, CAST(sum(a) AS DOUBLE) AS Documented,
+        CAST(sum(a) AS DOUBLE) AS Computed, CAST(0 AS DOUBLE) AS Difference, TRUE AS Matches, Selection
+      FROM t, (VALUES ('all'), ('all sources by name')) s(Selection) GROUP BY Selection, ROLLUP (Label)""",
+    "calendar_filter": _with(FACT, DIM_TIME)
+    + f"SELECT SourceSystemID, Year, {SUMS} FROM fact JOIN dim_time USING (DateKey) WHERE Quarter = 3 GROUP BY 1, 2",
+    "reports_after_reload": _with(FACT, SOURCES).replace("event_type = 'purchase'", "event_type = 'purchase' AND event_id % 5 <> 0")
+    + f""", days AS (
+        SELECT CAST(o_orderdate AS DATE) AS d FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+        UNION ALL SELECT CAST(ts AS DATE) FROM events JOIN customer ON user_id = c_custkey
+        WHERE event_type = 'purchase' AND event_id % 5 <> 0)
+      SELECT SourceSystemName, {SUMS}, count(*) AS TransactionCount,
+        CAST(sum(SalesAmount) AS DOUBLE) / count(*) AS AvgLineValue,
+        (SELECT CAST(min(d) AS VARCHAR) FROM days) AS MinDate, (SELECT CAST(max(d) AS VARCHAR) FROM days) AS MaxDate,
+        (SELECT count(*) FROM fact) AS FactRows
+      FROM fact JOIN sources USING (SourceSystemID) GROUP BY 1""",
+    "schema_drift": """SELECT * FROM (VALUES
+        ('customer', 'c_mktsegment', 'gone', 'string', NULL), ('customer', 'c_since', 'added', NULL, 'date'),
+        ('part', 'p_size', 'widened', 'int', 'bigint'), ('part', 'p_retailprice', 'retyped', 'double', 'string'))
+      d(TableName, ColumnName, Change, TypeBefore, TypeAfter)""",
+    "loads_together": _loads_together(),
+    "retained_load": _with(f"fact AS ({_ORDERS_FACT})", DIM_TIME)
+    + f"SELECT Year, Month, {SUMS} FROM fact JOIN dim_time USING (DateKey) GROUP BY Year, Month",
     "date_bounds": """SELECT CAST(min(d) AS VARCHAR) AS MinDate, CAST(max(d) AS VARCHAR) AS MaxDate FROM (
         SELECT CAST(o_orderdate AS DATE) AS d FROM orders JOIN lineitem ON l_orderkey = o_orderkey
         UNION ALL SELECT CAST(ts AS DATE) FROM events JOIN customer ON user_id = c_custkey
@@ -716,6 +756,7 @@ ORACLE: dict[str, str] = {
       SELECT *, SourceLines AS ObservedSourceLines, LostInJoins AS ObservedLostInJoins,
         Rejected AS ObservedRejected, FactRows AS ObservedFactRows FROM v""",
     "table_inventory": _inventory(),
+    "business_tables": _inventory(),
     "source_inventory": _source_inventory(),
     "profile_columns": _profile(),
     "pk_uniqueness": _pk(),
