@@ -42,6 +42,24 @@ def duplicate_lines(source: Source) -> DataFrame:
     )
 
 
+def _uses(fact: DataFrame) -> DataFrame:
+    """ForeignKey, KeyValue, Use (rows of the fact) and Define (none) of the fact's five keys.
+
+    One grouping set per key: keys are counted in their own types, one row per value and
+    task, and become text only then.
+    """
+    counted = fact.groupingSets([[F.col(k)] for k in FACT_KEYS], *FACT_KEYS).agg(
+        F.count(F.lit(1)).alias("Use"), *[F.grouping(k).alias(f"not_{k}") for k in FACT_KEYS]
+    )
+    name = F.coalesce(*[F.when(F.col(f"not_{k}") == 0, F.lit(k)) for k in FACT_KEYS])
+    return counted.select(
+        name.alias("ForeignKey"),
+        F.coalesce(*[F.col(k).cast("string") for k in FACT_KEYS]).alias("KeyValue"),
+        "Use",
+        F.lit(0).cast("bigint").alias("Define"),
+    )
+
+
 def key_usage(
     fact: DataFrame,
     dim_time: DataFrame,
@@ -57,15 +75,15 @@ def key_usage(
     nothing and are left out; DimTime and DimSourceSystem have none, so no test
     is pushed into the making of their rows.
     """
-    text_keys = [F.col(k).cast("string").alias(k) for k in FACT_KEYS]
     given = F.col("KeyValue").isNotNull()
-    used = _unpivot(fact.select(*text_keys), [], FACT_KEYS, "ForeignKey", "KeyValue").where(given)
+    used = _uses(fact).where(given)
 
     def role(foreign_key: str, column: str, use: int) -> Column:
         return F.struct(
             F.lit(foreign_key).alias("ForeignKey"),
             F.col(column).cast("string").alias("KeyValue"),
-            F.lit(use).alias("Use"),
+            F.lit(use).cast("bigint").alias("Use"),
+            F.lit(1 - use).cast("bigint").alias("Define"),
         )
 
     def defined(dim: DataFrame, column: str) -> DataFrame:
@@ -77,7 +95,7 @@ def key_usage(
     )
     stacked = union_all(
         [
-            used.select("ForeignKey", "KeyValue", F.lit(1).alias("Use")),
+            used,
             defined(dim_time, "DateKey"),
             defined(dim_customer, "CustomerID").where(given),
             dim_employee.select(F.explode(roles).alias("role")).select("role.*").where(given),
@@ -87,9 +105,7 @@ def key_usage(
     )
     return (
         stacked.groupBy("ForeignKey", "KeyValue")
-        .agg(
-            F.sum("Use").alias("UsingRows"), F.sum(1 - F.col("Use")).alias("DefiningRows")
-        )
+        .agg(F.sum("Use").alias("UsingRows"), F.sum("Define").alias("DefiningRows"))
     )
 
 
