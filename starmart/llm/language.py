@@ -21,6 +21,8 @@ GRAMS = 3
 PIECE = 1 << 18
 SLICE = 256
 UNDETERMINED = "und"
+#: Languages of a model at most: 262 MB of counts on the driver, half of that in a task.
+MOST_LANGUAGES = 1_000
 _FACTORS = np.array([2654435761, 2246822519, 3266489917], dtype=np.uint32)
 
 
@@ -84,14 +86,18 @@ class Model:
     log_prior: np.ndarray
 
 
-def train(docs: DataFrame, smoothing: float = 0.5) -> Model:
+def train(docs: DataFrame, smoothing: float = 0.5, most: int = MOST_LANGUAGES) -> Model:
     """A model from all rows with a language; their texts are counted whole, in the tasks.
 
-    The driver receives BUCKETS numbers per language. Languages have equal priors.
-    Without labelled rows the model knows no language.
+    The driver receives BUCKETS numbers per language, so the model knows at most the
+    ``most`` languages that most rows have (ties to the first by name); rows of others
+    teach nothing. Languages have equal priors. Without labelled rows the model knows
+    no language.
     """
+    sizes = docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
+    known = [r["lang"] for r in sizes.orderBy(F.desc("n"), "lang").limit(most).collect()]
     rows = (
-        docs.where(F.col("lang").isNotNull())
+        docs.where(F.col("lang").isin(known))
         .select("lang", "text")
         .mapInArrow(_counted, "lang string, bucket bigint, n bigint")
         .groupBy("lang", "bucket")
@@ -143,7 +149,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``lang_pred`` and ``score`` (the posterior, 0 to 1) of each row.
 
     A null text, a text without a letter, and any text under a model without
-    languages is UNDETERMINED with score 0. Ties go to the first language by name.
+    languages is UNDETERMINED with score 0. Ties go to the first language by name. A very
+    long text is scored whole, in pieces.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
