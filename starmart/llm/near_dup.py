@@ -276,7 +276,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     A null text and one without words have no shingles and no links: their
     component is their own doc_id. A null doc_id counts as larger than any other;
-    component_id is null only where all ids of a component are. Rows equal in
+    component_id is null only where all ids of a component are. A very long text is taken
+    apart whole, in pieces, and has one signature. Rows equal in
     doc_id and text get the same result. No rows give no rows.
     """
     rows = stored(signatures(docs))
