@@ -15,6 +15,11 @@ leaves out pairs whose sizes or whose parity bitmaps (each shingle flips one of
 BITS bits, so two bitmaps differ in no more bits than the sets in shingles) rule
 a link out, and lists a pair only in the first bucket it shares.
 
+A bucket of more than CROWD members is not compared all with all there: its texts
+meet on the shingles of their prefixes instead. With shingles in one order, rarest
+first, linked sets of n shingles share one of the first n - ceil(0.75 n) + 1 of each.
+So texts that share a page's frame, but are not linked, hardly meet.
+
 Equal shingle sets are one node (a 64-bit hash of the set) from the start.
 """
 
@@ -24,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from starmart.llm import words
 from starmart.llm.components import components, redealt
@@ -38,6 +43,8 @@ THRESHOLD = 75
 #: Texts turned into Python strings at once.
 SLICE = 256
 BITS = 1024
+#: Buckets with more members in different components are searched by prefixes.
+CROWD = 32
 
 _BIT_COLUMNS = [f"bits_{k}" for k in range(BITS // 64)]
 _SEEDS = words.mix(np.arange(1, 2 * SIDE * ROWS + 1, dtype=np.uint64))
@@ -168,8 +175,18 @@ def signatures(docs: DataFrame) -> DataFrame:
     )
 
 
-def _open_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs (a, b), a > b, of nodes that share a bucket but no component and may be linked."""
+def _may_link() -> str:
+    """Whether rows a and b are in different components and neither sizes nor bitmaps rule a link out."""
+    differing = " + ".join(f"bit_count(a.{x} ^ b.{x})" for x in _BIT_COLUMNS)
+    # A similarity of t leaves (1 - t) / (1 + t) of the summed sizes outside the intersection.
+    return f"""
+        a.label != b.label AND a.node > b.node
+        AND 100 * least(a.n_shingles, b.n_shingles) >= {THRESHOLD} * greatest(a.n_shingles, b.n_shingles)
+        AND {100 + THRESHOLD} * ({differing}) <= {100 - THRESHOLD} * (a.n_shingles + b.n_shingles)"""
+
+
+def _bucket_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b), a > b, of nodes whose first common bucket is given and that may be linked."""
     halves = [F.slice("halves", 1, SIDE).alias("firsts"), F.slice("halves", SIDE + 1, SIDE).alias("seconds")]
     full = stored(
         members.select("key", "node", "label").join(
@@ -177,12 +194,7 @@ def _open_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
         )
     )
     a, b = full.alias("a"), full.alias("b")
-    differing = " + ".join(f"bit_count(a.{x} ^ b.{x})" for x in _BIT_COLUMNS)
-    # A similarity of t leaves (1 - t) / (1 + t) of the summed sizes outside the intersection.
-    may_link = f"""
-        a.label != b.label AND a.node > b.node
-        AND 100 * least(a.n_shingles, b.n_shingles) >= {THRESHOLD} * greatest(a.n_shingles, b.n_shingles)
-        AND {100 + THRESHOLD} * ({differing}) <= {100 - THRESHOLD} * (a.n_shingles + b.n_shingles)
+    may_link = f"""{_may_link()}
         AND a.key = xxhash64(
             get(array_intersect(a.firsts, b.firsts), 0), get(array_intersect(a.seconds, b.seconds), 0)
         )"""
@@ -191,6 +203,64 @@ def _open_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
+def _shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The shingles of each text as a list."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, SLICE):
+            batch = whole.slice(at, SLICE)
+            for first, sets, bounds in words.shingle_sets(batch.column("text").to_pylist()):
+                lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(sets.view(np.int64)))
+                node = batch.column("node").slice(first, len(lists))
+                yield pa.RecordBatch.from_arrays([node, lists], ["node", "shingles"])
+
+
+def _prefixes(texts: DataFrame) -> DataFrame:
+    """``node`` and each ``shingle`` of its prefix that another node of ``texts`` has too."""
+    every = texts.select("node", "text").mapInArrow(_shingled, "node bigint, shingles array<bigint>")
+    every = stored(every.select("node", F.size("shingles").alias("n"), F.explode("shingles").alias("shingle")))
+    # A shingle of one node alone comes first in any prefix and meets nobody: it only takes up a place.
+    shared = every.groupBy("shingle").agg(F.count(F.lit(1)).alias("nodes")).where("nodes > 1")
+    common = stored(every.join(shared.select(redealt("shingle").alias("shingle"), "nodes"), "shingle"))
+    discard(every)
+    # So the shared ones are counted from the end: what comes after the prefix is ceil(0.75 n) - 1 shingles.
+    back = Window.partitionBy("node").orderBy(F.desc("nodes"), F.desc("shingle"))
+    after = F.expr(f"(n * {THRESHOLD}L + 99L) DIV 100 - 1")
+    ranked = common.withColumn("place", F.row_number().over(back))
+    return ranked.where(F.col("place") > after).select("node", "shingle")
+
+
+def _crowd_pairs(crowd: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b), a > b, of the nodes of ``crowd`` (node, label) whose prefixes meet and that may be linked."""
+    prefixes = stored(_prefixes(texts.join(crowd, "node", "left_semi")).join(crowd, "node"))
+    met = (
+        prefixes.groupBy("shingle")
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"))
+        .where("low != high")
+        .select(redealt("shingle").alias("shingle"))
+    )
+    full = stored(
+        prefixes.join(met, "shingle", "left_semi").join(
+            nodes.select("node", "n_shingles", *_BIT_COLUMNS), "node"
+        )
+    )
+    a, b = full.alias("a"), full.alias("b")
+    pairs = a.join(b, (F.col("a.shingle") == F.col("b.shingle")) & F.expr(_may_link()))
+    return pairs.select(F.col("a.node").alias("a"), F.col("b.node").alias("b")).distinct()
+
+
+def _open_pairs(members: DataFrame, nodes: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (a, b), a > b, of nodes that share a bucket but no component and may be linked."""
+    crowded = stored(
+        members.groupBy("key")
+        .agg(F.count(F.lit(1)).alias("members"))
+        .where(F.col("members") > CROWD)
+        .select(redealt("key").alias("key"))
+    )
+    crowd = stored(members.join(crowded, "key", "left_semi").select("node", "label").distinct())
+    few = members.join(crowded, "key", "left_anti")
+    return _bucket_pairs(few, nodes).unionAll(_crowd_pairs(crowd, nodes, texts))
+
+
 def _bucket_members(nodes: DataFrame) -> DataFrame:
     """``key``, ``node`` and the bucket's least node, of the buckets with two nodes or more.
 
@@ -261,8 +331,8 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     found, tried = found.unionAll(more), tried.unionAll(second)
     labels = components(found)
 
-    rest = _split_buckets(_relabelled(open_members.drop("label"), labels))
-    third = stored(_open_pairs(rest, nodes).join(tried, ["a", "b"], "left_anti"))
+    rest = stored(_split_buckets(_relabelled(open_members.drop("label"), labels)))
+    third = stored(_open_pairs(rest, nodes, texts).join(tried, ["a", "b"], "left_anti"))
     return found.unionAll(_confirmed(third, texts))
 
 
