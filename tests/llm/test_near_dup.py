@@ -1,8 +1,6 @@
-import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from starmart.llm import components, near_dup, words
 from tests.llm import data
@@ -34,9 +32,7 @@ def rows():
     return data.corpus()
 
 
-@pytest.mark.parametrize("crowd", [1, 32])
-def test_classes_are_those_of_all_pairs(spark, rows, monkeypatch, crowd):
-    monkeypatch.setattr(near_dup, "CROWD", crowd)
+def test_classes_are_those_of_all_pairs(spark, rows):
     df = spark.createDataFrame(rows, data.DOCUMENT)
     expected = brute_force(rows)
     found = near_dup.near_duplicates(data.with_clashes(df, "node", "label", "key", "halves")).collect()
@@ -59,10 +55,8 @@ def test_one_of_each_class_stays(spark, rows):
     assert sorted(ids) == sorted(expected)
 
 
-@pytest.mark.parametrize("crowd", [1, 32])
-def test_open_pairs_come_last_and_are_found(spark, monkeypatch, crowd):
+def test_open_pairs_come_last_and_are_found(spark, monkeypatch):
     """A chain whose first members differ is linked only by comparing across components."""
-    monkeypatch.setattr(near_dup, "CROWD", crowd)
     base = [f"t{i}" for i in range(100)]
     texts = []
     for step in range(6):
@@ -76,46 +70,21 @@ def test_open_pairs_come_last_and_are_found(spark, monkeypatch, crowd):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
 
 
-def pages_of_one_frame(n, seed=8, own=30):
-    """Texts of 90 equal words and some of their own; every tenth is followed by a near copy."""
-    rng = random.Random(seed)
+def test_pages_of_one_frame_are_linked_only_where_they_are_alike(spark):
+    """Texts of 90 equal words and 30 of their own; every tenth is followed by a near copy."""
+    rng = random.Random(8)
     frame = [f"f{i}" for i in range(90)]
     texts = []
-    while len(texts) < n:
-        page = frame + [f"p{rng.randrange(10**9)}" for _ in range(own)]
+    while len(texts) < 120:
+        page = frame + [f"p{rng.randrange(10**9)}" for _ in range(30)]
         texts.append(" ".join(page))
         if len(texts) % 10 == 0:
             texts.append(" ".join([*page[:-2], "other", "end"]))
-    return [(i, t, None, None, None) for i, t in enumerate(texts[:n])]
-
-
-def test_pages_of_one_frame_meet_only_where_they_are_alike(spark):
-    rows = pages_of_one_frame(150)
-    df = spark.createDataFrame(rows, data.DOCUMENT)
+    rows = [(i, t, None, None, None) for i, t in enumerate(texts)]
     expected = brute_force(rows)
-    found = near_dup.near_duplicates(df).collect()
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, data.DOCUMENT)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == expected
-    linked = [(i, c) for i, (_, c) in expected.items() if i != c]
-    assert linked
-    nodes = near_dup.signatures(df).select("node", "n_shingles", "text_hash", *near_dup._BIT_COLUMNS)
-    crowd = nodes.select("node", F.col("node").alias("label"))
-    texts = df.withColumn("text_hash", near_dup._text_hash()).join(nodes, "text_hash").select("node", "text")
-    assert near_dup._crowd_pairs(crowd, nodes, texts).count() == len(linked)
-
-
-def test_prefixes_of_linked_sets_meet(spark):
-    """Whatever the rest of the texts, two linked ones share a shingle of both prefixes."""
-    rows = [r for r in data.corpus(5, 4) if r[0] is not None and data.shingles(r[1])]
-    texts = {r[0]: r[1] for r in rows}
-    df = spark.createDataFrame(list(texts.items()), "node bigint, text string")
-    prefix = {}
-    for r in near_dup._prefixes(df).collect():
-        prefix.setdefault(r.node, set()).add(r.shingle)
-    sets = {i: data.shingles(t) for i, t in texts.items()}
-    pairs = [(a, b) for a in sets for b in sets if a < b]
-    linked = [(a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])]
-    assert linked and all(prefix[a] & prefix[b] for a, b in linked)
-    assert all(len(p) <= len(sets[i]) - math.ceil(0.75 * len(sets[i])) + 1 for i, p in prefix.items())
+    assert any(i != c for i, (_, c) in expected.items())
 
 
 def test_columns_of_any_name_are_kept(spark):
