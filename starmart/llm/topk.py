@@ -6,7 +6,8 @@ ones from the bottom, all to the same depth. What has been read gives each
 candidate a lower bound (unread values at their worst) and an upper bound (unread
 values at the last one read). Once few candidates can still reach the k-th lower
 bound the rest is out, and the scores of those few are resolved. Depths double, and
-all queries of a block read together.
+all queries of a block read together; only entries not read before are added. Lists
+read to their ends make both bounds the score, so nothing is left to resolve.
 """
 
 from __future__ import annotations
@@ -54,35 +55,43 @@ def search(query_ids: np.ndarray, queries: np.ndarray, ids: np.ndarray, rows: np
     size = float(np.abs(rows).max(initial=0)) * float(np.abs(queries).max(initial=0)) * max(1, dims)
     active = np.arange(len(queries))
     candidates: dict[int, np.ndarray] = {}
-    if size < EXACT and dims:
+    scored: dict[int, np.ndarray] = {}
+    if size < EXACT and dims and n > k:
         order = np.argsort(rows, axis=0, kind="stable")
         place = np.empty_like(order)
         np.put_along_axis(place, order, np.arange(n)[:, None], axis=0)
         lists = np.take_along_axis(rows, order, axis=0).astype(float)
         values = rows.astype(float)
-        depth = max(k + 1, n // 16)
-        while len(active) and depth < n:
+        read = np.zeros((len(queries), n))
+        before, depth = 0, max(k + 1, n // 16)
+        while len(active) and before < n:
+            depth = min(depth, n)
             high, low = place >= n - depth, place < depth
+            new_high, new_low = high & (place < n - before), low & (place >= before)
             up, down = np.maximum(queries[active], 0).astype(float), np.minimum(queries[active], 0).astype(float)
-            read = up @ (values * high).T + down @ (values * low).T
-            unread_up, unread_down = (~high).T.astype(float), (~low).T.astype(float)
-            lower = read + (up * lists[0]) @ unread_up + (down * lists[-1]) @ unread_down
-            upper = read + (up * lists[n - depth - 1]) @ unread_up + (down * lists[depth]) @ unread_down
+            read[active] += up @ (values * new_high).T + down @ (values * new_low).T
+            lower, upper = read[active], read[active]
+            if depth < n:
+                unread_up, unread_down = (~high).T.astype(float), (~low).T.astype(float)
+                lower += (up * lists[0]) @ unread_up + (down * lists[-1]) @ unread_down
+                upper += (up * lists[n - depth - 1]) @ unread_up + (down * lists[depth]) @ unread_down
             own = query_ids[active][:, None] == ids[None, :]
             lower[own], upper[own] = -math.inf, -math.inf
             bar = np.partition(lower, n - k, axis=1)[:, n - k]
             possible = (upper >= bar[:, None]) & ~own
             for i, query in enumerate(active):
                 candidates[query] = np.flatnonzero(possible[i])
+                if depth == n:
+                    scored[query] = read[query, candidates[query]].astype(np.int64)
             active = active[possible.sum(axis=1) > FEW * k]
-            depth *= 2
+            before, depth = depth, depth * 2
     out = []
     for i in range(len(queries)):
         # Without bounds (short lists, huge values) every row is a candidate.
         left = candidates.get(i)
         if left is None:
             left = np.flatnonzero(ids != query_ids[i])
-        scores = _exact(rows[left], queries[i])
+        scores = scored[i] if i in scored else _exact(rows[left], queries[i])
         best = _best(scores, ids[left], k)
         out.append((np.full(len(best), query_ids[i]), ids[left][best], scores[best]))
     return [np.concatenate(x) for x in zip(*out)] if out else [np.empty(0, np.int64)] * 3

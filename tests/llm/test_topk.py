@@ -44,6 +44,31 @@ def test_bounds_end_reading_early_on_peaked_vectors():
     assert found[1].tolist() == best
 
 
+def test_scores_come_from_the_lists(monkeypatch):
+    """Peaked vectors leave few rows to resolve; lists of flat ones are read to the end and leave none."""
+    rng = np.random.default_rng(2)
+    resolved = []
+
+    def counted(rows, query, exact=topk._exact):
+        resolved.append(len(rows))
+        return exact(rows, query)
+
+    monkeypatch.setattr(topk, "_exact", counted)
+    flat = rng.integers(-1024, 1024, (1024, 32))
+    peaked = rng.integers(-3, 3, (1024, 32))
+    peaked[np.arange(1024), rng.integers(0, 32, 1024)] = rng.integers(500, 1024, 1024)
+    for rows, early in ((flat, False), (peaked, True)):
+        resolved.clear()
+        asked = np.arange(0, 1024, 100)
+        found = topk.search(asked, rows[asked], np.arange(1024), rows, 5)
+        expected = brute_force(dict(enumerate(rows.tolist())), asked.tolist(), 5)
+        for q in asked:
+            own = found[0] == q
+            assert list(zip(found[1][own].tolist(), found[2][own].tolist())) == expected[q]
+        assert all(x <= topk.FEW * 5 for x in resolved)
+        assert len(resolved) == (len(asked) if early else 0)
+
+
 def test_huge_short_and_few(spark):
     rows = [(0, [2**62, 2**62]), (1, [2**62, 2**62]), (2, [-(2**62)]), (3, [])]
     df = spark.createDataFrame(rows, "vec_id bigint, vector array<bigint>")
