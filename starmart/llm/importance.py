@@ -49,7 +49,8 @@ def _crc_of(words: pa.Array) -> np.ndarray:
 
 def features(texts: pa.Array, n: int, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Words per text, and of every feature its text's index, in order, and its bucket."""
-    lowered = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
+    # Lowered, then widened: of a slice that was widened first the kernel takes other rows' bytes.
+    lowered = pc.ascii_lower(pc.fill_null(texts, "")).cast(pa.large_string())
     lists = pc.split_pattern_regex(lowered, BREAKS)
     words, parents = pc.list_flatten(lists), pc.list_parent_indices(lists)
     full = pc.not_equal(words, "")

@@ -87,6 +87,33 @@ def test_runs_do_not_cross_texts():
     assert sorted(got) == sorted((k, zlib.crc32(x.encode())) for k, x in expected)
 
 
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+@pytest.mark.parametrize("null", [False, True])
+def test_features_of_a_slice_are_those_of_its_texts(kind, null):
+    texts = [f"A{k}-b{k % 3} " * (k % 4) + "É" for k in range(40)]
+    if null:
+        texts[9] = None
+    whole = pa.array(texts, kind)
+    for start, size in ((0, 40), (3, 20), (8, 5), (39, 1)):
+        part = texts[start : start + size]
+        counts, of, found = importance.features(whole.slice(start, size), 2, 1 << 32)
+        assert counts.tolist() == [len(words_of(x)) for x in part]
+        expected = [(k, zlib.crc32(g.encode())) for k, x in enumerate(part) for g in grams(x, 2)]
+        assert sorted(zip(of.tolist(), found.tolist())) == sorted(expected)
+
+
+def test_batches_of_several_slices_without_nulls(spark):
+    rows = [(k, f"W{k % 50} x{k % 7}, Y{k % 11} " * (2 + k % 12)) for k in range(2 * importance.SLICE + 100)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").coalesce(1)
+    target = ["w1 x1 y1", "w2 x2"]
+    out = importance.resample(df, spark.createDataFrame([(x,) for x in target], "text string"), buckets=500)
+    every, drawn = brute_force(rows, target, 1, 500, 10, 20)
+    got = out.collect()
+    key = lambda r: str((r.doc_id, r.n_features, r.weight, r.score))
+    assert sorted(map(key, got)) == every
+    assert drawn and sorted((key(r), r["rank"]) for r in got if r["rank"] is not None) == drawn
+
+
 def test_no_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint, text string")
     some = spark.createDataFrame([(1, "a b c " * 10)], "doc_id bigint, text string")
