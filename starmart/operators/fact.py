@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StructType
 
 from starmart.functions import (
     canonical_key,
@@ -14,6 +15,7 @@ from starmart.functions import (
     quantity,
     surely_fits,
 )
+from starmart.operators.joins import lookup
 from starmart.schema import FACT_SALES, conform
 from starmart.sources.spec import Source, union_all
 
@@ -36,18 +38,20 @@ def _measured(types: dict[str, DataType]) -> tuple[Column, Column, Column]:
     return price, amount, surely_fits(sizes, [types[name] for name in inputs]) | exact
 
 
-def staged_sales(source: Source, how: str = "inner") -> DataFrame:
+def staged_sales(source: Source, how: str = "inner", carried: Sequence[str] = ()) -> DataFrame:
     """Joined lines of one source: the fact columns next to the values they came from.
 
     With ``how`` "left" lines that find no header or customer are there too, their
-    ``Matched`` is false.
+    ``Matched`` is false. Columns of the joined rows named in ``carried`` come along.
 
     Unusable dates and measures are NULL here; ``Usable`` tells whether both
     measures have a value. The quality operators read the raw columns, the fact
     leaves them out and they are pruned from the scan.
     """
     spec = source.spec
-    df, types = spec.sales(source.raw, how).evaluated()
+    mapped = spec.sales(source.raw, how)
+    rules = mapped.rules | {name: F.col(name) for name in carried}
+    df, types = replace(mapped, rules=rules).evaluated()
 
     def key(target: str) -> Column:
         return canonical_key(spec.prefix, F.col(target), types[target]).alias(target)
@@ -69,6 +73,7 @@ def staged_sales(source: Source, how: str = "inner") -> DataFrame:
         quantity(units).alias("SalesQuantity"),
         amount.alias("SalesAmount"),
         usable.alias("Usable"),
+        *carried,
     )
 
 
@@ -82,6 +87,28 @@ def fact_sales(sources: Sequence[Source]) -> DataFrame:
     return union_all(sales_of(s) for s in sources)
 
 
+def named_sales_of(source: Source, customers: DataFrame) -> DataFrame:
+    """The source's sales with the attributes in ``customers``, a left lookup by CustomerID.
+
+    A source with headers looks them up once per header, below the join with its lines.
+    """
+    spec = source.spec
+    if spec.header_customer is None:
+        return lookup(sales_of(source), customers, "CustomerID")
+    table, column = spec.header_customer
+    headers = source.raw.table(table)
+    key = canonical_key(spec.prefix, F.col(column), headers.schema[column].dataType)
+    names = [c for c in customers.columns if c != "CustomerID"]
+    found = lookup(headers.withColumn("CustomerID", key), customers, "CustomerID").drop("CustomerID")
+    lines = staged_sales(Source(spec, source.raw.replacing(**{table: found})), carried=names)
+    return conform(lines.where("Usable"), StructType([*FACT_SALES, *[customers.schema[c] for c in names]]))
+
+
+def named_sales(sources: Sequence[Source], customers: DataFrame) -> DataFrame:
+    """The fact with the attributes in ``customers``, as lookup() on it would give."""
+    return union_all(named_sales_of(s, customers) for s in sources)
+
+
 def header_sales_of(source: Source) -> DataFrame:
     """The source's sales without what only lines know, summed per header below the join.
 

@@ -26,12 +26,14 @@ def describe_fact_rows(
     dim_time: DataFrame,
     dim_source_system: DataFrame,
 ) -> DataFrame:
-    """The given fact rows with their ``Sentence``; all rows at once, by five left lookups.
+    """The given fact rows with their ``Sentence``; all rows at once, by left lookups.
 
     A member that cannot be found, or has no name, is "an unknown ..."; a line
     whose date is not in DimTime shows its DateKey; the employee clause needs an
-    employee that is found, its title is optional. Texts that depend on one
-    dimension only are made on the dimension, before the join.
+    employee that is found, its title is optional. Texts are made after the last
+    lookup, and what is broadcast is looked up last: lines that meet members too large
+    for a broadcast are shuffled bare, with the names found so far. A fact that brings
+    its ``CustomerName`` (``named_sales``: found per header) is not shuffled for it.
 
     DimTime and DimSourceSystem are broadcast. The calendar bounds the first:
     four-digit years hold 3.7 million dates, a century 36,525. The second has one
@@ -43,22 +45,24 @@ def describe_fact_rows(
     )
     customers = dim_customer.select("CustomerID", F.col("CustomerName").alias("__customer"))
     products = dim_product.select("ProductID", F.col("ProductName").alias("__product"))
-    title = F.when(
-        F.col("Title").isNotNull(), F.concat(F.lit(" ("), F.col("Title"), F.lit(")"))
-    ).otherwise("")
     employees = dim_employee.select(
-        "EmployeeID",
-        F.concat(
-            F.lit(", with the order attributed to "), F.col("EmployeeName"), title
-        ).alias("__employee"),
+        "EmployeeID", F.col("EmployeeName").alias("__employee"), F.col("Title").alias("__title")
     )
 
-    rows = fact.join(F.broadcast(dates), "DateKey", "left").join(
-        F.broadcast(dim_source_system), "SourceSystemID", "left"
-    )
+    if "CustomerName" in fact.columns:
+        rows = fact.withColumnRenamed("CustomerName", "__customer")
+    else:
+        rows = lookup(fact, customers, "CustomerID")
     rows = lookup(rows, employees, "EmployeeID")
-    rows = lookup(rows, customers, "CustomerID")
     rows = lookup(rows, products, "ProductID")
+    rows = rows.join(F.broadcast(dates), "DateKey", "left").join(
+        F.broadcast(dim_source_system), "SourceSystemID", "left"
+    )
+
+    title = F.when(
+        F.col("__title").isNotNull(), F.concat(F.lit(" ("), F.col("__title"), F.lit(")"))
+    ).otherwise("")
+    employee = F.concat(F.lit(", with the order attributed to "), F.col("__employee"), title)
 
     # The wording of the sentence.
     sentence = F.concat(
@@ -74,7 +78,7 @@ def describe_fact_rows(
         F.coalesce(F.col("__product"), F.lit("an unknown product")),
         F.lit(" for a SalesAmount of "),
         F.format_number("SalesAmount", 2),
-        F.coalesce(F.col("__employee"), F.lit("")),
+        F.coalesce(employee, F.lit("")),
         F.lit("."),
     )
     return rows.select(*FACT_SALES.names, sentence.alias("Sentence"))

@@ -380,7 +380,7 @@ QUERIES: dict[str, Query] = {
         lambda s: bi.sales_by_classification(s.fact_sales, s.dim_product)
     ),
     "sales_by_title": _on_star(lambda s: bi.sales_by_title(s.fact_sales, s.dim_employee)),
-    "fact_narrative": _on_star(lambda s: _narrate(s, s.fact_sales)),
+    "fact_narrative": _on_star(lambda s: _narrate(s, s.named_sales("CustomerName"))),
     "picked_row_narrative": _on_star(
         lambda s: _narrate(s, narrate.nth_fact_row(_filtered(s, s.fact_sales, "Orders", "Events"), PICKED_ROW))
     ),

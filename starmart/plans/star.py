@@ -26,6 +26,11 @@ class Star:
     def fact_sales(self) -> DataFrame:
         return fact.fact_sales(self.sources)
 
+    def named_sales(self, *attributes: str) -> DataFrame:
+        """The fact with some attributes of its customers, NULL where there is none."""
+        customers = dims.dim_customer(self.sources, ("CustomerID", *attributes))
+        return fact.named_sales(self.sources, customers)
+
     @cached_property
     def header_sales(self) -> DataFrame:
         """Sums per header: the fact for reports on source, date and customer."""

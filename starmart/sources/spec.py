@@ -95,8 +95,9 @@ class SourceSpec:
     ``DateKey`` (see ``with_date_key``), ``CustomerID``, ``EmployeeID``,
     ``ProductID``, ``Quantity`` and ``UnitPrice``, or ``Amount`` where the source
     stores the amount of the line. ``header_sales`` gives the same lines and headers
-    apart, where there are headers. ``lines`` gives the line
-    rows before any join, to count what the joins lose.
+    apart, where there are headers. ``header_customer`` names the header table and
+    its column that ``sales`` maps to ``CustomerID``, where lines get it from there.
+    ``lines`` gives the line rows before any join, to count what the joins lose.
     """
 
     system_id: int
@@ -110,6 +111,7 @@ class SourceSpec:
     lines: Callable[[RawZone], DataFrame]
     line_key: tuple[str, ...]
     header_sales: Callable[[RawZone], HeaderSales] | None = None
+    header_customer: tuple[str, str] | None = None
     tables: tuple[str, ...] = ()
     primary_keys: dict[str, tuple[str, ...]] = field(default_factory=dict)
     foreign_keys: tuple[ForeignKey, ...] = ()

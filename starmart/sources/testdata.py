@@ -153,6 +153,7 @@ ORDERS = SourceSpec(
     dates=_order_dates,
     sales=_order_sales,
     header_sales=_order_header_sales,
+    header_customer=("orders", "o_custkey"),
     lines=_order_lines,
     line_key=("l_orderkey", "l_linenumber"),
     tables=("customer", "lineitem", "nation", "orders", "part", "supplier"),

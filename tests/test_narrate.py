@@ -1,12 +1,17 @@
 import random
+from datetime import datetime
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from starmart import RawZone, Source, Star
 from starmart.operators.narrate import describe_fact_rows, nth_fact_row
+from starmart.plans.catalogue import QUERIES
 from starmart.schema import FACT_SALES
+from starmart.sources import testdata
+from tests.test_oracle import ROOT
 
 #: The fact's columns, all of which may be NULL.
 FACT_SALES_LAX = StructType([StructField(f.name, f.dataType) for f in FACT_SALES.fields])
@@ -98,3 +103,47 @@ def test_nth_row_is_found_by_counts_of_every_column(spark, few):
 def test_nth_row_is_found_without_a_sort_of_the_fact(star):
     plan = nth_fact_row(star.fact_sales, 3)._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" not in plan and "TakeOrderedAndProject" in plan
+
+
+def test_names_found_per_header_are_those_found_per_line(spark, no_broadcast):
+    """Repeated members and headers, lines without a header, headers without a customer or a known one."""
+    customers = [(1, "Ann"), (1, "Anna"), (2, None), (3, "Cy")]
+    orders = [(10, 1), (10, 3), (11, 2), (12, None), (13, 99), (14, 3)]
+    tables = {
+        "customer": [(k, name, 0, 0.0, "m") for k, name in customers],
+        "supplier": [(1, "Sue", 0, 0.0)],
+        "part": [(1, "pin", "b", "t", 1, 1.0), (1, "pin", "b", "t", 1, 1.0)],
+        "orders": [(k, c, "O", 1.0, datetime(2020, 1, k), "p") for k, c in orders],
+        "lineitem": [
+            (k, p, s, n, q, 2.5, 0.0, 0.0, "N", "O", None)
+            for n, (k, p, s, q) in enumerate(
+                [(10, 1, 1, 1.0), (10, 2, None, 2.0), (11, 1, 1, 1.0), (12, 1, 1, 3.0), (13, 1, 1, 1.0), (99, 1, 1, 1.0), (14, 1, 1, None)]
+            )
+        ],
+        "events": [(k, datetime(2020, 2, 1), u, "purchase", 1.5, '{"k": 1}') for k, u in enumerate([1, 2, 3, 98, None])],
+        "nation": [(0, "N", 0)],
+        "region": [(0, "R")],
+    }
+    raw = RawZone.frames({t: spark.createDataFrame(rows, testdata.RAW_SCHEMAS[t]) for t, rows in tables.items()})
+    both = Star(spark, [Source(testdata.ORDERS, raw), Source(testdata.EVENTS, raw)])
+    named = both.named_sales("CustomerName")
+    assert named.columns == [*FACT_SALES.names, "CustomerName"]
+    plain, fewer = narrate(both, both.fact_sales), narrate(both, named)
+    assert fewer.schema == plain.schema
+    rows = sorted(map(str, plain.collect()))
+    assert len(rows) > 10 and sorted(map(str, fewer.collect())) == rows
+
+
+def _joins(tree):
+    own = [tree] if tree.nodeName() == "Join" else []
+    children = tree.children()
+    return own + [j for k in range(children.size()) for j in _joins(children.apply(k))]
+
+
+def test_no_line_is_joined_with_customers_where_headers_are(spark, no_broadcast):
+    found = QUERIES["fact_narrative"](spark, ROOT)
+    joins = _joins(found._jdf.queryExecution().optimizedPlan())
+    customers = [x for x in joins if "coalesce(CustomerID" in x.condition().toString()]
+    # The headers of one source and the lines of the other, which has none.
+    assert len(customers) == 2
+    assert not any("l_quantity" in x.toString() for x in customers)
