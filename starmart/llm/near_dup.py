@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, functions as F
 from starmart.llm import words
 from starmart.llm.components import components, redealt
 from starmart.llm.rows import packed
-from starmart.scratch import discard, stored
+from starmart.scratch import discard, gathered, stored
 
 SIDE = 10
 ROWS = 2
@@ -38,6 +38,8 @@ THRESHOLD = 75
 #: Texts turned into Python strings at once.
 SLICE = 256
 BITS = 1024
+#: Pairs, and nodes with their texts or bucket keys, that a task takes at least.
+EACH = 2_000
 
 _BIT_COLUMNS = [f"bits_{k}" for k in range(BITS // 64)]
 _SEEDS = words.mix(np.arange(1, 2 * SIDE * ROWS + 1, dtype=np.uint64))
@@ -136,7 +138,7 @@ def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
         F.col("node").alias(name), F.col("text").alias(f"text_{name}")
     )
     both = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b")
-    return stored(both.mapInArrow(_linked, "a bigint, b bigint"))
+    return stored(gathered(both, pairs.count(), EACH).mapInArrow(_linked, "a bigint, b bigint"))
 
 
 def _text_hash() -> F.Column:
@@ -191,7 +193,7 @@ def _open_pairs(members: DataFrame, nodes: DataFrame) -> DataFrame:
     )
 
 
-def _bucket_members(nodes: DataFrame) -> DataFrame:
+def _bucket_members(nodes: DataFrame, n: int) -> DataFrame:
     """``key``, ``node`` and the bucket's least node, of the buckets with two nodes or more.
 
     A half key that only one node has is in no such bucket; it goes before the
@@ -214,41 +216,42 @@ def _bucket_members(nodes: DataFrame) -> DataFrame:
         .select("node", F.explode("firsts").alias("first"), "seconds")
         .select("node", "first", F.explode("seconds").alias("second"))
     )
-    keyed = stored(paired.select(F.xxhash64("first", "second").alias("key"), "node"))
+    keyed = stored(gathered(paired.select(F.xxhash64("first", "second").alias("key"), "node"), n, EACH))
     buckets = (
         keyed.groupBy("key")
         .agg(F.min("node").alias("pivot"), F.max("node").alias("high"))
         .where("pivot != high")
         .select(redealt("key").alias("key"), "pivot")
     )
-    members = stored(keyed.join(buckets, "key"))
+    members = stored(gathered(keyed.join(buckets, "key"), n, EACH))
     discard(keyed)
     return members
 
 
-def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame) -> DataFrame:
+def _texts(docs: DataFrame, nodes: DataFrame, members: DataFrame, n: int) -> DataFrame:
     """One text of each node that shares a bucket."""
     wanted = members.select("node").distinct().join(nodes, "node")
     wanted = wanted.select("node", F.col("least.doc_id").alias("doc_id"), F.col("least.text_hash"))
     texts = docs.select("doc_id", "text", _text_hash().alias("text_hash"))
     same = texts["doc_id"].eqNullSafe(wanted["doc_id"]) & (texts["text_hash"] == wanted["text_hash"])
     found = texts.join(wanted, same).select("node", "text")
-    return stored(found.dropDuplicates(["node"]))
+    return stored(gathered(found.dropDuplicates(["node"]), n, EACH))
 
 
 def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Confirmed links (a, b) that connect the nodes of each component."""
-    members = _bucket_members(nodes)
-    texts = _texts(docs, nodes, members)
+    n = nodes.count()
+    members = _bucket_members(nodes, n)
+    texts = _texts(docs, nodes, members, n)
 
     first = members.where("node != pivot").groupBy("node").agg(F.min("pivot").alias("b"))
-    tried = stored(first.select(F.col("node").alias("a"), "b"))
+    tried = stored(gathered(first.select(F.col("node").alias("a"), "b"), n, EACH))
     found = _confirmed(tried, texts)
     labels = components(found)
 
-    open_members = stored(_split_buckets(_relabelled(members, labels)))
+    open_members = stored(gathered(_split_buckets(_relabelled(members, labels)), n, EACH))
     pivots = labels.select(F.col("node").alias("pivot"), F.col("label").alias("pivot_label"))
-    second = stored(
+    second = (
         open_members.where("node != pivot")
         .select("node", "pivot", "label")
         .distinct()
@@ -257,6 +260,7 @@ def links(docs: DataFrame, nodes: DataFrame) -> DataFrame:
         .select(F.col("node").alias("a"), F.col("pivot").alias("b"))
         .join(tried, ["a", "b"], "left_anti")
     )
+    second = stored(gathered(second, n, EACH))
     more = _confirmed(second, texts)
     found, tried = found.unionAll(more), tried.unionAll(second)
     labels = components(found)
@@ -282,11 +286,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     rows = stored(signatures(docs))
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
-    nodes = stored(
+    nodes = (
         rows.where("n_shingles > 0")
         .groupBy("node", "n_shingles", "halves", *_BIT_COLUMNS)
         .agg(F.min(order).alias("least"))
     )
+    nodes = stored(gathered(nodes, rows.count(), EACH))
     labels = components(links(docs, nodes))
     of_node = nodes.join(labels, "node", "left").select(
         "node", F.coalesce("label", "node").alias("label"), "least"

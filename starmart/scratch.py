@@ -39,6 +39,16 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame, rows: int, each: int) -> DataFrame:
+    """The rows in about a task for every ``each`` of ``rows``, two per core at least, none more than there were.
+
+    A step over few rows is not spread over all shuffle partitions, each with a file
+    to write; with many rows it stays as it is. Nothing is shuffled for it.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(max(2 * cores, -(-rows // each)))
+
+
 def discard(*tables: DataFrame) -> None:
     """Delete stored tables that no later step reads."""
     for df in tables:

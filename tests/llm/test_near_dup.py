@@ -120,3 +120,18 @@ def test_hashed_sets_have_the_size_of_real_ones(monkeypatch, piece):
     for first, sets, bounds in words.shingle_sets(texts):
         for k in range(len(bounds) - 1):
             assert bounds[k + 1] - bounds[k] == len(data.shingles(texts[first + k]))
+
+
+def test_rounds_over_few_edges_do_not_write_a_file_per_shuffle_partition(spark):
+    settings = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        edges = [(k, k + 1) for k in range(900) if k % 3]
+        found = components.components(spark.createDataFrame(edges, "a bigint, b bigint"))
+        assert 1 <= len(found.inputFiles()) <= 2 * spark.sparkContext.defaultParallelism
+        assert {r.node: r.label for r in found.collect()} == {k: (k + 2) // 3 * 3 - 2 for k in range(1, 901)}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
